@@ -36,6 +36,8 @@ LEVELS = (1, 4, 16)
 #: Bytes of query vectors, as doubles, that one pass holds.
 BLOCK_BYTES = 4 << 20
 CHUNK = 2048
+#: Share of a chunk's pairs from which on the survivors are scored by one matrix product.
+DENSE = 0.02
 #: Up to this magnitude doubles add integer products of up to 2**11 components exactly.
 SAFE = float(1 << 20)
 
@@ -133,13 +135,25 @@ def scan(best: Best, ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray,
             alive, rows, cols = alive[np.ix_(r, c)], rows[r], cols[c]
             if not len(rows):
                 break
-        r, c = np.nonzero(alive)
-        r, c = rows[r], cols[c]
-        other = own[r] != query_ids[c]
-        r, c = r[other], c[other]
-        for b in range(0, len(r), 1 << 17):
-            at, to = r[b : b + (1 << 17)], c[b : b + (1 << 17)]
-            best.add(to, exact_scores(chunk[at], queries[to]), own[at])
+        if len(rows):
+            survivors(best, alive, own, chunk, rows, query_ids, queries, cols)
+
+
+def survivors(best: Best, alive: np.ndarray, ids: np.ndarray, matrix: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, cols: np.ndarray) -> None:
+    """Exact scores of the pairs that are left: by one product where they are many, else pair by pair."""
+    safe = matrix.shape[1] <= 2048 and max(np.abs(matrix).max(initial=0), np.abs(queries).max(initial=0)) <= SAFE
+    if safe and alive.mean() > DENSE:
+        scores = matrix[rows] @ queries[cols].T  # whole numbers below 2**53, hence exact
+        r, c = np.nonzero(alive & (scores >= best.reach[cols][None, :]) & (ids[rows][:, None] != query_ids[cols][None, :]))
+        best.add(cols[c], scores[r, c].astype(np.int64), ids[rows[r]])
+        return
+    r, c = np.nonzero(alive & (ids[rows][:, None] != query_ids[cols][None, :]))
+    r, c = rows[r], cols[c]
+    for b in range(0, len(r), 1 << 17):
+        at, to = r[b : b + (1 << 17)], c[b : b + (1 << 17)]
+        scores = exact_scores(matrix[at], queries[to])
+        good = scores >= best.reach[to]
+        best.add(to[good], scores[good], ids[at[good]])
 
 
 def top_k(table: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100, k: int = K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
