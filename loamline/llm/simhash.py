@@ -39,8 +39,9 @@ RADIUS = 3
 #: Distinct fingerprints in a tile; a task holds two tiles.
 TILE_ROWS = 1 << 16
 MOST_PARTITIONS = 20_000
-#: Rows of a block within a tile.
-BLOCK = 256
+#: Rows of a block within a tile, and blocks compared with one at once (what fits a core's cache).
+BLOCK = 64
+GROUP = 16
 #: Winners are broadcast if they take no more bytes than this, and joined by a shuffle beyond it.
 BROADCAST_BYTES = 32 << 20
 
@@ -135,20 +136,27 @@ def link_rows(fps: np.ndarray, split: int, radius: int = RADIUS) -> np.ndarray:
     if not left or not right:
         return label
     low, high = (np.array([b[k] for b in right]) for k in (1, 2))
+    xors, bits = np.empty((BLOCK, BLOCK * GROUP), np.uint64), np.empty((BLOCK, BLOCK * GROUP), np.uint8)
     for i, (rows, lo, hi) in enumerate(left):
         gap = np.maximum(0, np.maximum(lo - high, low - hi)).sum(axis=1)
         near = np.flatnonzero(gap <= radius)
         if not split:
             near = near[near >= i]
-        for k in range(0, len(near), 16):
-            others = np.concatenate([right[j][0] for j in near[k : k + 16]])
+        mine = fps[rows][:, None]
+        for k in range(0, len(near), GROUP):
+            others = np.concatenate([right[j][0] for j in near[k : k + GROUP]])
             a, b = label[rows], label[others]
             if a[0] == b[0] and (a == a[0]).all() and (b == b[0]).all():
                 continue
-            close = np.bitwise_count(fps[rows][:, None] ^ fps[others][None, :]) <= radius
-            x, y = np.nonzero(close & (a[:, None] != b[None, :]))
-            if len(x):
-                merge(label, np.unique(np.stack([a[x], b[y]], axis=1), axis=0))
+            x, n = xors[: len(a), : len(b)], bits[: len(a), : len(b)]
+            np.bitwise_count(np.bitwise_xor(mine, fps[others][None, :], out=x), out=n)
+            close = n <= radius
+            if not close.any():
+                continue
+            x, y = np.nonzero(close)
+            apart = a[x] != b[y]
+            if apart.any():
+                merge(label, np.unique(np.stack([a[x[apart]], b[y[apart]]], axis=1), axis=0))
     return label
 
 
