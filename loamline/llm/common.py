@@ -12,6 +12,7 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,19 @@ def over_batches(df: DataFrame, step: Callable[[pa.RecordBatch], Iterable[pa.Rec
     return df.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, column: pa.Array, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about so many bytes of a string or list column, and a row at least."""
+    sizes = (pc.binary_length(column) if pa.types.is_string(column.type) else pc.multiply(pc.list_value_length(column), 4)).fill_null(0).to_pylist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held + size > most_bytes and i > start:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null reads as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

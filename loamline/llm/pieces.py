@@ -20,6 +20,7 @@ and extra columns pass through; an empty table gives no rows. Texts are encoded
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -30,14 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import numbered
+from loamline.llm.common import numbered, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words whose pieces a task remembers.
-MEMORY = 400_000
+#: Words whose pieces a worker remembers, in each of two generations.
+MEMORY = 250_000
+#: Text or ids that a worker turns over at once.
+PART_BYTES = 2 << 20
 
 
 def load(path: str = MODEL) -> dict:
@@ -51,7 +55,7 @@ def load(path: str = MODEL) -> dict:
 
 
 class Pieces:
-    """Encoder and decoder for a model as :func:`load` gives it."""
+    """Encoder for a model as :func:`load` gives it."""
 
     def __init__(self, model: dict, memory: int = MEMORY):
         self.kind, self.prefix, self.memory = model["kind"], model["prefix"], memory
@@ -61,7 +65,6 @@ class Pieces:
         self.unknown = next((i for i, (_, _, kind) in enumerate(self.pieces) if kind == UNKNOWN), 0)
         self.singles = {piece for piece in self.rank if len(piece) == 1}
         self.strange = re.compile("([^" + "".join(map(re.escape, sorted(self.singles))) + "])" if self.singles else r"([\s\S])")
-        self.raw = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode() if k in (NORMAL, USER) else b"" for p, _, k in self.pieces]
         self.automaton = ahocorasick.Automaton()
         for piece, (score, i) in self.rank.items():
             if self.kind != BPE or self._merged(piece) == [piece]:
@@ -69,7 +72,11 @@ class Pieces:
         self.automaton.make_automaton()
         by_word = not any(SPACE in piece.lstrip(SPACE) for piece in self.rank)
         newline = "" if any("\n" in piece for piece in self.rank) else "\n"
-        self.words = re.compile(f"[{newline}]|{SPACE}*[^{SPACE}{newline}]+|{SPACE}+" if newline else f"{SPACE}*[^{SPACE}]+|{SPACE}+") if by_word else re.compile(r"[\s\S]+")
+        whole = f"{SPACE}*[^{SPACE}{newline}]+|{SPACE}+" + (f"|{newline}" if newline else "")
+        # a mark that no piece has behind a Latin letter is cut off a word, which is then met more often
+        apart = "".join(re.escape(c) for c in ".,;:!?)" if not any(re.search(rf"[{LATIN}]{re.escape(c)}", piece) for piece in self.rank))
+        first = rf"{SPACE}*[{LATIN}]++(?=[{apart}])|" if apart else ""
+        self.words = re.compile(first + whole if by_word else r"[\s\S]+")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.apart: dict[int, bool] = {}
@@ -161,7 +168,11 @@ class Pieces:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    # -- decoding ---------------------------------------------------------------------------------
+
+class Decoder:
+    def __init__(self, model: dict):
+        self.prefix = model["prefix"]
+        self.raw = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode() if k in (NORMAL, USER) else b"" for p, _, k in model["pieces"]]
 
     def decode(self, ids: list[int]) -> str:
         raw, n = self.raw, len(self.raw)
@@ -176,6 +187,17 @@ class Pieces:
         return out.decode("utf-8", "replace")
 
 
+_encoders: dict[str, Pieces] = {}
+
+
+def _encoder(shared, name: str) -> Pieces:
+    """The worker's own encoder, kept with what it remembers from task to task."""
+    if name not in _encoders:
+        _encoders.clear()
+        _encoders[name] = Pieces(shared.value)
+    return _encoders[name]
+
+
 # --- DataFrame operators -------------------------------------------------------------------------
 
 
@@ -184,21 +206,33 @@ def encode(documents: DataFrame, *, text_col: str = "text", ids_col: str = "ids"
     plain, names, of = numbered(documents)
     kept = names if keep is None else keep
     work = plain.select(of(text_col).alias("work"), *[of(n).alias(f"k{i}") for i, n in enumerate(kept)])
-    shared, carried = documents.sparkSession.sparkContext.broadcast(load(model_path)), work.columns[1:]
+    model = load(model_path)
+    shared, carried = documents.sparkSession.sparkContext.broadcast(model), work.columns[1:]
+    name = hashlib.sha256(repr(model).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(shared.value)
+        pieces = _encoder(shared, name)
         for batch in batches:
-            got = [pieces.encode(t or "") for t in batch.column("work").to_pylist()]
-            offsets = np.zeros(len(got) + 1, dtype=np.int32)
-            np.cumsum([len(g) for g in got], out=offsets[1:])
-            values = pa.array(np.concatenate(got) if got else np.zeros(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.ListArray.from_arrays(pa.array(offsets), values)], [*carried, "ids"])
+            for part in slices(batch, batch.column("work"), PART_BYTES):
+                got = [pieces.encode(t or "") for t in part.column("work").to_pylist()]
+                offsets = np.zeros(len(got) + 1, dtype=np.int32)
+                np.cumsum([len(g) for g in got], out=offsets[1:])
+                values = pa.array(np.concatenate(got) if got else np.zeros(0, np.int32), pa.int32())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.ListArray.from_arrays(pa.array(offsets), values)], [*carried, "ids"])
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in work.schema.fields[1:]), "ids array<int>"])
     return work.mapInArrow(run, schema).toDF(*kept, ids_col)
 
 
+def _lists(column: pa.ListArray) -> Iterator[list[int | None] | None]:
+    if column.values.null_count:
+        yield from column.to_pylist()
+        return
+    starts, flat = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
+    for a, b, ok in zip(starts[:-1], starts[1:], column.is_valid().to_pylist(), strict=True):
+        yield flat[a:b].tolist() if ok else None
+
+
 def decode(rows: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded", model_path: str = MODEL) -> DataFrame:
     """The frame's columns and text_col, the text of the ids."""
     plain, names, of = numbered(rows)
@@ -206,14 +240,11 @@ def decode(rows: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded",
     shared, carried = rows.sparkSession.sparkContext.broadcast(load(model_path)), work.columns[1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(shared.value)
+        pieces = Decoder(shared.value)
         for batch in batches:
-            column = batch.column("work")
-            starts, flat = column.offsets.to_numpy(), column.values
-            flat = flat.to_numpy(zero_copy_only=False).tolist() if flat.null_count == 0 else flat.to_pylist()
-            valid = column.is_valid().to_pylist()
-            texts = [pieces.decode(flat[a:b]) if ok else None for a, b, ok in zip(starts[:-1], starts[1:], valid, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], [*carried, "decoded"])
+            for part in slices(batch, batch.column("work"), PART_BYTES):
+                texts = [None if ids is None else pieces.decode(ids) for ids in _lists(part.column("work"))]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string())], [*carried, "decoded"])
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in work.schema.fields[1:]), "decoded string"])
     return work.mapInArrow(run, schema).toDF(*names, text_col)
