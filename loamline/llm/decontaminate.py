@@ -203,7 +203,7 @@ def brute_force(documents: list[tuple], items: list[tuple], window: int = WINDOW
         hit, found = set(), set()
         for i in range(len(words)):
             for size in {len(g) for g in grams}:
-                if items_at := grams.get(tuple(words[i : i + size])):
+                if i + size <= len(words) and (items_at := grams.get(tuple(words[i : i + size]))):
                     hit |= set(range(i, i + size))
                     found |= items_at
         joined = ",".join(sorted(found))

@@ -208,6 +208,7 @@ def brute_force(rows: list[tuple], every: int = 100, k: int = K) -> list[tuple]:
             asked[i] = min(asked.get(i, v), v)
     out = []
     for q, v in sorted((i, whole(v)) for i, v in asked.items()):
-        scored = sorted((-sum(a * b for a, b in zip(v, x, strict=True)), i) for i, x in good if i != q and len(x) == len(v))
+        clipped = lambda s: max(-(2**63), min(2**63 - 1, s))
+        scored = sorted((-clipped(sum(a * b for a, b in zip(v, x, strict=True))), i) for i, x in good if i != q and len(x) == len(v))
         out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
     return out

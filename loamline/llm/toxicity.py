@@ -48,9 +48,9 @@ LEAST_MATCH = 6
 SHARED_BYTES = 1024
 OWN_BYTES = 600
 GRAM = 5
-#: A dictionary's own part: how much more usual (natural logarithm), and in how many texts at least.
+#: A dictionary's own part: how much more usual (natural logarithm), and by how many standard errors.
 CONTRAST = 2.0
-SUPPORT = 0.01
+ERRORS = 3.5
 FEATURES = 8
 
 
@@ -118,8 +118,12 @@ def _grams(text: bytes) -> set[bytes]:
 
 def _apart(texts: list[bytes], mine: Counter, n_mine: int, theirs: Counter, n_theirs: int) -> list[bytes]:
     """Pieces of words made of byte sequences that are usual here and not there, one list a text."""
-    least = max(3, SUPPORT * n_mine)
-    usual = {g for g, c in mine.items() if c >= least and np.log((c + 0.5) / (n_mine + 1)) - np.log((theirs[g] + 0.5) / (n_theirs + 1)) > CONTRAST}
+    def apart(here: int, there: int) -> bool:
+        a, b, pooled = here / n_mine, there / n_theirs, (here + there + 1) / (n_mine + n_theirs + 2)
+        more = np.log((here + 0.5) / (n_mine + 1)) - np.log((there + 0.5) / (n_theirs + 1))
+        return more > CONTRAST and a - b > ERRORS * np.sqrt(pooled * (1 - pooled) * (1 / n_mine + 1 / n_theirs))
+
+    usual = {g for g, c in mine.items() if c >= 3 and apart(c, theirs[g])}
     pieces: Counter = Counter()
     for text in texts:
         found = set()
