@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import numbered, slices
+from loamline.llm.common import numbered, pick, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -39,7 +39,7 @@ LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Words whose pieces a worker remembers, in each of two generations.
-MEMORY = 160_000
+MEMORY = 250_000
 #: Text or ids that a worker turns over at once.
 PART_BYTES = 2 << 20
 
@@ -68,7 +68,7 @@ class Pieces:
         self.automaton = ahocorasick.Automaton()
         for piece, (score, i) in self.rank.items():
             if self.kind != BPE or self._merged(piece) == [piece]:
-                self.automaton.add_word(piece, (len(piece), i, score))
+                self.automaton.add_word(piece, (len(piece), i, score, {}))
         self.automaton.make_automaton()
         by_word = not any(SPACE in piece.lstrip(SPACE) for piece in self.rank)
         newline = "" if any("\n" in piece for piece in self.rank) else "\n"
@@ -79,7 +79,7 @@ class Pieces:
         self.words = re.compile(first + whole if by_word else r"[\s\S]+")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.apart: dict[int, bool] = {}
+        self.pairs = 0  # of pieces, that are known to stay apart or not
 
     # -- encoding ---------------------------------------------------------------------------------
 
@@ -125,38 +125,49 @@ class Pieces:
 
     def _search(self, text: str) -> list[int]:
         """One pass over a text of known characters; best[e] is the last piece of the best way to e."""
-        n, merges, apart = len(text), self.kind == BPE, self.apart
-        best, start, score = [-1] * (n + 1), [0] * (n + 1), [0.0] * (n + 1)
-        for last, (size, i, own) in self.automaton.iter(text):
-            end = last + 1
-            begin = end - size
-            if merges:
-                if best[end] >= 0:
-                    continue  # exactly one piece fits, and it is found
-                before = best[begin]
-                if before >= 0:
-                    together = apart.get(before << 32 | i)
-                    if together is None:
-                        together = self._stay_apart(before, i)
-                    if not together:
-                        continue
-                elif begin:
-                    continue
-                best[end], start[end] = i, begin
-            elif (best[begin] >= 0 or not begin) and (best[end] < 0 or score[begin] + own > score[end]):
-                best[end], start[end], score[end] = i, begin, score[begin] + own
+        n = len(text)
+        best, start = [-1] * (n + 1), [0] * (n + 1)
+        best[0] = -2
+        (self._relax_merges if self.kind == BPE else self._relax_scores)(text, best, start)
         out: list[int] = []
         while n:
             out.append(best[n])
             n = start[n]
         return out[::-1]
 
+    def _relax_scores(self, text: str, best: list[int], start: list[int]) -> None:
+        score = [0.0] * len(best)
+        for last, (size, i, own, _) in self.automaton.iter(text):
+            end = last + 1
+            begin = end - size
+            if best[begin] != -1 and (best[end] == -1 or score[begin] + own > score[end]):
+                best[end], start[end], score[end] = i, begin, score[begin] + own
+
+    def _relax_merges(self, text: str, best: list[int], start: list[int]) -> None:
+        for last, (size, i, _, apart) in self.automaton.iter(text):
+            end = last + 1
+            if best[end] != -1:
+                continue  # exactly one piece fits, and it is found
+            begin = end - size
+            before = best[begin]
+            if before == -1:
+                continue
+            if begin:
+                together = apart.get(before)
+                if together is None:
+                    together = apart[before] = self._stay_apart(before, i)
+                if not together:
+                    continue
+            best[end], start[end] = i, begin
+
     def _stay_apart(self, left: int, right: int) -> bool:
-        if len(self.apart) > self.memory:
-            self.apart.clear()
+        self.pairs += 1
+        if self.pairs > self.memory:
+            self.pairs = 0
+            for _, _, _, apart in self.automaton.values():
+                apart.clear()
         a, b = self.pieces[left][0], self.pieces[right][0]
-        known = self.apart[left << 32 | right] = self._merged(a + b) == [a, b]
-        return known
+        return self._merged(a + b) == [a, b]
 
     def _merged(self, text: str) -> list[str]:
         """Merges by best score, leftmost first; only ever asked for one piece or two."""
@@ -251,7 +262,12 @@ def decode(rows: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded",
 
 
 def report(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL) -> DataFrame:
-    """doc_id, n_chars, n_tokens, ids_sha256 and round_trip: whether decoding gives the text back."""
-    coded = encode(documents, text_col=text_col, model_path=model_path, keep=[id_col, text_col]).toDF("doc_id", "text", "ids")
-    back = decode(coded, text_col="back", model_path=model_path)
-    return back.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), (F.coalesce("text", F.lit("")) == F.col("back")).alias("round_trip"))
+    """doc_id, n_chars, n_tokens, ids_sha256 and round_trip: whether decoding gives the text back.
+
+    The text goes to Python once; what comes back from decoding is held against its hash.
+    """
+    docs = pick(documents, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    docs = docs.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+    coded = encode(docs, model_path=model_path, keep=["doc_id", "n_chars", "text_sha256"])
+    back = decode(coded, model_path=model_path)
+    return back.select("doc_id", "n_chars", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
