@@ -39,7 +39,7 @@ LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Words whose pieces a worker remembers, in each of two generations.
-MEMORY = 150_000
+MEMORY = 220_000
 #: Text or ids that a worker turns over at once.
 PART_BYTES = 2 << 20
 
