@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from loamline.functions.text import big_number, blocklist_key, body, entry_id, entry_title, header, host, native_id, norm, page_url, previous_week, render_header, slug, tokens, url_key
 from loamline.operators import coverage, fetch, html, lines, merge, prune, quality, registry, report, resolve
 from loamline.operators.discovery import license_of_id, permissive_or_open, topic
-from loamline.plans import oracle
+from loamline.plans import answers, oracle
 from loamline.plans.derived import fixture_documents, line_documents, manifest, table
 from loamline.streaming import rounds
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = oracle.SQL
+QUERIES: dict[str, Query] = {**answers.QUERIES}
+ORACLE_SQL: dict[str, str] = {**oracle.SQL, **answers.SQL}
 
 
 def query(build: Query) -> Query:
