@@ -147,8 +147,13 @@ def _boost(rows: DataFrame, rounds: int) -> Model:
     shares = [i / BINS for i in range(1, BINS)]
     got = rows.agg(*[F.percentile_approx(f, shares, 10_000).alias(f) for f in FEATURES]).first()
     cuts = {f: sorted(set(got[f])) for f in FEATURES}
-    for _ in range(rounds):
-        model.trees.append(_tree(rows, model, cuts))
+    bins = [F.struct(F.lit(i).alias("f"), reduce(lambda a, c, f=f: a + (F.col(f) > c).cast("int"), cuts[f], F.lit(0)).alias("bin")) for i, f in enumerate(FEATURES)]
+    rows = rows.select("label", *FEATURES, F.array(*bins).alias("bins")).cache()
+    try:
+        for _ in range(rounds):
+            model.trees.append(_tree(rows, model, cuts))
+    finally:
+        rows.unpersist()
     return model
 
 
@@ -166,8 +171,7 @@ def _tree(rows: DataFrame, model: Model, cuts: dict[str, list[float]]) -> tuple
 
 def _splits(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[int, tuple]:
     """For each leaf the best (feature, threshold, value below, value above), if any gains."""
-    bins = [F.struct(F.lit(i).alias("f"), reduce(lambda a, c, f=f: a + (F.col(f) > c).cast("int"), cuts[f], F.lit(0)).alias("bin")) for i, f in enumerate(FEATURES)]
-    each = rows.select("leaf", (F.col("label") - F.col("p")).alias("g"), (F.col("p") * (1 - F.col("p"))).alias("h"), F.explode(F.array(*bins)).alias("at"))
+    each = rows.select("leaf", (F.col("label") - F.col("p")).alias("g"), (F.col("p") * (1 - F.col("p"))).alias("h"), F.explode("bins").alias("at"))
     sums = each.groupBy("leaf", "at.f", "at.bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n")).collect()
     table: dict[int, dict[int, dict[int, tuple]]] = {}
     for r in sums:
