@@ -5,9 +5,13 @@ windows; each window is compressed with either dictionary, and how many bytes fe
 needs is its distance. A few statistics of a text's distances (the largest, the share and number
 of large ones) go into a logistic calibration that gives a score from 0 to 1.
 
-The dictionaries share a part, trained on all text, so that plain prose costs the same under both;
-their own parts are trained on what sets a class apart: the pieces of words whose short byte
-sequences are far more usual in that class's training texts than in the other's.
+The dictionaries share a part, trained by zstandard on ordinary text, so that plain prose costs the same
+under both; their own parts hold what sets a class apart: pieces of words whose short byte sequences
+stand once, or twice, in far more of that class's training texts than of the other's. The comparison
+is made within groups of texts alike in their byte pairs (in practice: languages), and added up over
+them, so that a language with few toxic texts counts by its own texts only. A piece stands in
+``LEAST_TEXTS`` training texts at least; all such pieces are taken. Every window starts with a phrase
+that both dictionaries hold, since zstandard stores a short text as it is unless much of it matches.
 
 Labels are learned from a bounded sample: at most ``MOST_TOXIC`` and ``MOST_ORDINARY`` labelled
 rows, chosen by a hash of their id, with ``MOST_CHARS`` characters of each. A part of them trains the
@@ -41,16 +45,25 @@ MOST_CHARS = 8000
 #: Share of the training texts that the dictionaries are trained on; the others calibrate.
 DICTIONARY_SHARE = 0.6
 
-WINDOW = 40
-STRIDE = 28
+WINDOW = 48
+STRIDE = 34
 LEVEL = 6
 LEAST_MATCH = 6
-SHARED_BYTES = 1024
-OWN_BYTES = 600
-GRAM = 5
-#: A dictionary's own part: how much more usual (natural logarithm), and by how many standard errors.
+SHARED_BYTES = 4096
+#: Bytes of the shared part that every window starts with.
+ANCHOR = 24
+#: Lengths of the byte sequences that are counted, and how often they stand in a text at least.
+GRAMS = (5, 7)
+TIMES = (1, 2)
+LEAST_TEXTS = 3
+#: Groups of texts alike, and hashed byte pairs by which they are told.
+GROUPS = 6
+LEAST_GROUP = 20
+PAIRS = 1021
+#: A dictionary's own part: how much more usual (natural logarithm), and by how many standard
+#: errors beyond the most that chance would reach among so many sequences.
 CONTRAST = 2.0
-ERRORS = 3.5
+ERRORS = 0.75
 FEATURES = 8
 
 
@@ -61,6 +74,9 @@ class Model(NamedTuple):
     spread: np.ndarray
     weights: np.ndarray
     prior: float
+    #: Centers of the groups; mean and deviation of the distance, and share of large ones, in ordinary texts of each.
+    centers: np.ndarray = np.zeros((1, PAIRS))
+    usual: np.ndarray = np.zeros((1, 3))
 
 
 def _squeezed(text: bytes) -> bytes:
@@ -68,7 +84,8 @@ def _squeezed(text: bytes) -> bytes:
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, min_match=LEAST_MATCH, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
+    # a window's literals are too few to be coded, so sizes differ by matches only
+    parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, min_match=LEAST_MATCH, strategy=zstandard.STRATEGY_LAZY, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
     shared = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     shared.precompute_compress(compression_params=parameters)
     return zstandard.ZstdCompressor(dict_data=shared, compression_params=parameters)
@@ -80,25 +97,31 @@ class Scorer:
         self.ready = bool(model.toxic)
         if self.ready:
             self.toxic, self.ordinary = _compressor(model.toxic), _compressor(model.ordinary)
+            self.anchor = model.ordinary[-ANCHOR:]
 
     def distances(self, text: bytes) -> np.ndarray:
         """Bytes that the toxic dictionary saves in each window."""
-        text = _squeezed(text)
+        return self._distances(_squeezed(text))
+
+    def _distances(self, text: bytes) -> np.ndarray:
         if not text:
             return np.zeros(0)
         toxic, ordinary = self.toxic.compress, self.ordinary.compress
         out = []
         for a in range(0, max(1, len(text) - (WINDOW - STRIDE)), STRIDE):
-            window = text[a : a + WINDOW]
+            window = self.anchor + text[a : a + WINDOW]
             out.append(len(ordinary(window)) - len(toxic(window)))
         return np.array(out, dtype=np.float64)
 
     def features(self, text: bytes) -> np.ndarray:
-        d = -np.sort(-self.distances(text))
-        if not len(d):
-            return np.zeros(FEATURES)
-        root = np.sqrt(len(d))
-        return np.array([d[0], d[:2].mean(), d[:4].mean(), d.mean(), np.log1p((d >= 2).sum()), np.log1p((d >= 4).sum()), (d >= 3).sum() / root, (d >= 4).mean()])
+        """How far a text's distances lie above those of ordinary texts of its group, and how many are large."""
+        text = _squeezed(text)
+        d = -np.sort(-self._distances(text))
+        n, most, mean, large = len(d), d[0] if len(d) else 0.0, d.mean() if len(d) else 0.0, float((d >= 2).sum())
+        usual, spread, share = self.model.usual[int((self.model.centers @ _profile(text)).argmax())]
+        above = max((mean - usual) / (spread + 0.04), -2.0)
+        more = max((large - n * share) / np.sqrt(n * share + 0.5), -2.0)
+        return np.array([min(above, 6.0), min(more, 6.0), min(above, 3.0), min(more, 3.0), min(large, 2.0), min(large, 4.0), most, np.log1p(n)])
 
     def score(self, text: bytes) -> float:
         m = self.model
@@ -111,40 +134,126 @@ class Scorer:
 # --- training ------------------------------------------------------------------------------------
 
 
-def _grams(text: bytes) -> set[bytes]:
-    text = b" " + text + b" "
-    return {text[i : i + GRAM] for i in range(len(text) - GRAM + 1)}
+def _grams(word: bytes) -> Iterator[tuple[int, bytes]]:
+    """(start, byte sequence) in a word between blanks."""
+    return ((i, word[i : i + n]) for n in GRAMS for i in range(len(word) - n + 1))
+
+
+def _profile(text: bytes) -> np.ndarray:
+    """Roots of the frequencies of a text's byte pairs, hashed, of length 1."""
+    b = np.frombuffer(text, np.uint8).astype(np.int64)
+    pairs = np.sqrt(np.bincount((b[:-1] * 256 + b[1:]) % PAIRS, minlength=PAIRS))
+    return pairs / max(np.linalg.norm(pairs), 1e-9)
+
+
+def _centers(plain: np.ndarray) -> np.ndarray:
+    """Groups of the ordinary texts' profiles, by k-means from a seeded start.
+
+    Toxic texts join the nearest group: what sets them apart makes no group of its own.
+    """
+    rng = np.random.RandomState(3)
+    centers = plain[[rng.randint(len(plain))]]
+    while len(centers) < GROUPS:
+        far = np.maximum(1 - (plain @ centers.T).max(axis=1), 1e-9) ** 2
+        centers = np.vstack([centers, plain[rng.choice(len(plain), p=far / far.sum())]])
+    for _ in range(15):
+        group = (plain @ centers.T).argmax(axis=1)
+        for k in set(group.tolist()):
+            mean = plain[group == k].mean(axis=0)
+            centers[k] = mean / max(np.linalg.norm(mean), 1e-9)
+    return centers
+
+
+def _of_group(scorer: Scorer, texts: list[bytes]) -> np.ndarray:
+    """Mean and deviation of the distance and share of large ones, by group; of all where a group has few texts."""
+    group = np.array([int((scorer.model.centers @ _profile(t)).argmax()) for t in texts])
+    found = [scorer.distances(t) for t in texts]
+    rows = np.array([[d.mean(), (d >= 2).mean()] if len(d) else [0.0, 0.0] for d in found])
+    out = []
+    for k in range(GROUPS):
+        some = rows[group == k] if (group == k).sum() >= LEAST_GROUP else rows
+        out.append([some[:, 0].mean(), some[:, 0].std(), some[:, 1].mean()])
+    return np.array(out)
+
+
+def _keys(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte sequences inside a text's words, as numbers that start with their length; and how often each stands."""
+    b = np.frombuffer(b" " + text + b" ", np.uint8).astype(np.uint64)
+    blank = b == ord(" ")
+    out = []
+    for n in GRAMS:
+        last = len(b) - n + 1
+        if last > 0:
+            key, within = np.full(last, n, np.uint64), np.ones(last, bool)
+            for i in range(n):
+                key = (key << np.uint64(8)) | b[i : i + last]
+                within &= ~blank[i : i + last] if 0 < i < n - 1 else True
+            out.append(key[within])
+    return np.unique(np.concatenate(out), return_counts=True) if out else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def _usual(texts: list[bytes], labels: np.ndarray, centers: np.ndarray) -> dict[int, set[bytes]]:
+    """Byte sequences that set each class apart, by a test within groups that is added up over them."""
+    of_text = labels * GROUPS + np.array([int((centers @ _profile(t)).argmax()) for t in texts])
+    counted = [_keys(text) for text in texts]
+    n = np.bincount(of_text, minlength=2 * GROUPS).reshape(2, GROUPS).astype(np.float64)
+    out: dict[int, set[bytes]] = {0: set(), 1: set()}
+    for least in TIMES:
+        stands = [key[count >= least] for key, count in counted]
+        names, at = np.unique(np.concatenate(stands), return_inverse=True)
+        cell = np.repeat(of_text, [len(x) for x in stands])
+        kept = np.flatnonzero(np.bincount(at, minlength=len(names)) >= LEAST_TEXTS)
+        new = np.full(len(names), -1)
+        new[kept] = np.arange(len(kept))
+        at = new[at]
+        seen = np.bincount(at[at >= 0] * 2 * GROUPS + cell[at >= 0], minlength=len(kept) * 2 * GROUPS).reshape(-1, 2, GROUPS)
+        for label, apart in _apart(seen.astype(np.float64), n).items():
+            out[label] |= {int(x).to_bytes(8, "big").lstrip(b"\0")[1:] for x in names[kept[apart]]}
+    return out
 
 
-def _apart(texts: list[bytes], mine: Counter, n_mine: int, theirs: Counter, n_theirs: int) -> list[bytes]:
-    """Pieces of words made of byte sequences that are usual here and not there, one list a text."""
-    def apart(here: int, there: int) -> bool:
-        a, b, pooled = here / n_mine, there / n_theirs, (here + there + 1) / (n_mine + n_theirs + 2)
-        more = np.log((here + 0.5) / (n_mine + 1)) - np.log((there + 0.5) / (n_theirs + 1))
-        return more > CONTRAST and a - b > ERRORS * np.sqrt(pooled * (1 - pooled) * (1 / n_mine + 1 / n_theirs))
+def _apart(seen: np.ndarray, n: np.ndarray) -> dict[int, np.ndarray]:
+    """For each class, which events set it apart: texts with the event and all texts, by class and group."""
+    every = np.maximum(n.sum(axis=0), 1)
+    total = seen.sum(axis=1)
+    error = np.sqrt((total * (every - total) * n[0] * n[1] / (every**2 * np.maximum(every - 1, 1))).sum(axis=1) + 0.25)
+    errors = (seen[:, 1] - total * n[1] / every).sum(axis=1) / error
+    least = np.sqrt(2 * np.log(max(len(seen), 2))) + ERRORS
+    half = 0.5 * (n[0] * n[1] / every).sum()
+    more = np.log((seen[:, 1] * n[0] / every).sum(axis=1) + half / n[1].sum()) - np.log((seen[:, 0] * n[1] / every).sum(axis=1) + half / n[0].sum())
+    return {label: (sign * more > CONTRAST) & (sign * errors > least) & (seen[:, label].sum(axis=1) >= LEAST_TEXTS) for label, sign in ((0, -1), (1, 1))}
+
+
+def _pieces(texts: list[bytes], usual: set[bytes]) -> list[bytes]:
+    """The longest pieces of words covered by the given byte sequences, the most usual first."""
+    of_word: dict[bytes, list[bytes]] = {}
+
+    def covered(word: bytes) -> list[bytes]:
+        marks = bytearray(len(word))
+        for i, g in _grams(word):
+            if g in usual:
+                marks[i : i + len(g)] = b"\1" * len(g)
+        out, start = [], None
+        for i, mark in enumerate(bytes(marks) + b"\0"):
+            if mark and start is None:
+                start = i
+            elif not mark and start is not None:
+                out.append(word[start:i])
+                start = None
+        return out
 
-    usual = {g for g, c in mine.items() if c >= 3 and apart(c, theirs[g])}
     pieces: Counter = Counter()
     for text in texts:
         found = set()
         for word in set(text.split()):
-            word = b" " + word + b" "
-            run = 0  # where the present run of usual sequences started, plus one
-            for i in range(len(word) - GRAM + 2):
-                if word[i : i + GRAM] in usual and i <= len(word) - GRAM:
-                    run = run or i + 1
-                elif run:
-                    found.add(word[run - 1 : i - 1 + GRAM])
-                    run = 0
+            if word not in of_word:
+                of_word[word] = covered(b" " + word + b" ")
+            found.update(of_word[word])
         pieces.update(found)
     out: list[bytes] = []
-    size = 0
-    for piece, _ in sorted(pieces.items(), key=lambda x: (-x[1], x[0])):
-        if size + len(piece) > OWN_BYTES:
-            break
-        if not any(piece in have for have in out):
+    for piece, count in sorted(pieces.items(), key=lambda x: (-x[1], x[0])):
+        if count >= LEAST_TEXTS and len(piece) >= LEAST_MATCH and not any(piece in have for have in out):
             out.append(piece)
-            size += len(piece)
     return out
 
 
@@ -166,18 +275,16 @@ def train(rows: list[tuple[bytes, int]]) -> Model:
         return empty._replace(prior=len(texts[1]) / total if total else 0.0)
     first = {label: max(1, int(DICTIONARY_SHARE * len(some))) for label, some in texts.items()}
     learn = {label: some[: first[label]] for label, some in texts.items()}
-    counts = {label: Counter() for label in (0, 1)}
-    for label, some in learn.items():
-        for text in some:
-            counts[label].update(_grams(text))
-    n = {label: len(some) for label, some in learn.items()}
-    base = _content([t[a : a + 512] for label in (0, 1) for t in learn[label][:900] for a in range(0, min(len(t), 3000), 512)], SHARED_BYTES)
-    own = {label: b"".join(reversed(_apart(learn[label], counts[label], n[label], counts[1 - label], n[1 - label]))) for label in (0, 1)}
-    model = empty._replace(toxic=base + own[1], ordinary=base + own[0], prior=len(texts[1]) / total)
+    base = _content([t[a : a + 512] for t in learn[0][:900] for a in range(0, min(len(t), 3000), 512)], SHARED_BYTES)
+    centers = _centers(np.array([_profile(t) for t in learn[0]]))
+    usual = _usual(learn[0] + learn[1], np.array([label for label in (0, 1) for _ in learn[label]]), centers)
+    own = {label: b"".join(reversed(_pieces(learn[label], usual[label]))) for label in (0, 1)}
+    model = empty._replace(toxic=own[1] + base, ordinary=own[0] + base, prior=len(texts[1]) / total, centers=centers)
     if not model.toxic or not model.ordinary:
         return empty._replace(prior=model.prior)
-    scorer = Scorer(model)
     held = {label: some[first[label] :] or some for label, some in texts.items()}
+    model = model._replace(usual=_of_group(Scorer(model), held[0]))
+    scorer = Scorer(model)
     x = np.array([scorer.features(t) for label in (0, 1) for t in held[label]])
     y = np.array([label for label in (0, 1) for _ in held[label]], dtype=np.float64)
     center, spread = x.mean(axis=0), x.std(axis=0) + 1e-6

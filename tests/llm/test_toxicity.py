@@ -75,3 +75,12 @@ def test_query_on_held_out_rows(spark):
     assert sum(g[1] for g in toxic) / len(toxic) > 0.75 and sum(g[1] for g in clean) / len(clean) < 0.02
     above = sum((a[0] > b[0]) + 0.5 * (a[0] == b[0]) for a in toxic for b in clean)
     assert above / (len(toxic) * len(clean)) > 0.93
+
+
+def test_query_finds_every_language_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = {i: (lang, toxic) for i, lang, toxic in duckdb.sql(f"SELECT doc_id, lang, toxic FROM '{folder}/labels.parquet' JOIN '{folder}/documents.parquet' USING (doc_id)").fetchall()}
+    got = [(r["predicted"], *labels[r["doc_id"]]) for r in QUERIES["op6_toxicity"](spark, folder).collect() if r["held_out"] and r["doc_id"] in labels]
+    for lang in ("de", "en", "es", "fr"):
+        toxic, clean = ([p for p, x, y in got if x == lang and y == label] for label in (1, 0))
+        assert sum(toxic) / len(toxic) > 0.5 and sum(clean) / len(clean) < 0.04, lang
