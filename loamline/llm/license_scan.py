@@ -1,10 +1,13 @@
 """License scans: where a text repeats a license notice, how much of it, and which spans.
 
-Method: each template's word 3-grams are winnowed (the smallest hash of every window is kept), and an
-inverted index leads from a fingerprint to the templates and positions that hold it. A document's
-3-grams are looked up there; hits on nearby diagonals of one template make a candidate, and a
-banded alignment of the whole template with the words around it reports matched words and span. A
-copy that keeps ``GRAM + WINNOW - 1`` = 4 words of a template in a row is always found.
+Method: each template's word 3-grams are winnowed (the smallest hash of every window is kept), and of a
+template of at most ``SHORT`` words every pair of neighbouring words is kept; an inverted index leads
+from a fingerprint to the templates and positions that hold it. A document's pairs and 3-grams are
+looked up there; hits on nearby diagonals of one template make a candidate, and a banded alignment of
+the whole template with the words around it reports matched words and span. A short template is
+aligned on every diagonal whose band holds a hit, if enough of its words stand there. A copy that
+keeps ``GRAM + WINNOW - 1`` = 4 words of a template in a row, or two words of a short one, is always
+looked at; one that keeps fewer in a row is not.
 
 Words: lower-cased runs of letters and digits. Spans are code points of the text, end exclusive.
 Coverage is matched words over the template's words; matches of at least ``min_coverage`` are
@@ -30,6 +33,8 @@ from loamline.llm.common import as_text, over_batches, pick
 
 GRAM = 3
 WINNOW = 2
+#: Words up to which all of a template's pairs of words are indexed.
+SHORT = 16
 #: Words that an alignment may shift to either side, at least; and as a share of the template.
 BAND = 4
 BAND_SHARE = 0.1
@@ -97,33 +102,44 @@ class Index:
         for t, (_, _, words) in enumerate(self.templates):
             if len(words) < GRAM:
                 raise ValueError(f"a template has at least {GRAM} words: {' '.join(words)!r}")
-            for i, gram in winnow(words):
+            for i, gram in enumerate(zip(words, words[1:])) if len(words) <= SHORT else winnow(words):
                 self.index[gram].append((t, i))
         self.index = dict(self.index)
 
     def band(self, t: int) -> int:
         return max(BAND, int(BAND_SHARE * len(self.templates[t][2])))
 
-    def candidates(self, words: list[str]) -> Iterator[tuple[int, int]]:
+    def candidates(self, words: list[str], min_coverage: float = MIN_COVERAGE) -> Iterator[tuple[int, int]]:
         """(template, diagonal): document position minus template position of a group of hits."""
         hits: dict[int, list[int]] = defaultdict(list)
         index = self.index
-        for at, gram in enumerate(grams_of(words)):
-            if gram in index:
-                for t, i in index[gram]:
-                    hits[t].append(at - i)
+        for grams in (zip(words, words[1:]), grams_of(words)):
+            for at, gram in enumerate(grams):
+                if gram in index:
+                    for t, i in index[gram]:
+                        hits[t].append(at - i)
         for t, diagonals in hits.items():
             band, last = self.band(t), None
+            pattern = self.templates[t][2]
+            if len(pattern) <= SHORT:
+                near = {d + o for d in set(diagonals) if self._enough(pattern, words[max(0, d - 2 * band) : max(0, d + 2 * band + len(pattern))], min_coverage) for o in range(-band, band + 1)}
+                yield from ((t, d) for d in sorted(near))
+                continue
             for d in sorted(set(diagonals)):
                 if last is None or d - last > band // 2:
                     yield t, d
                     last = d
 
+    @staticmethod
+    def _enough(pattern: list[str], around: list[str], min_coverage: float) -> bool:
+        there = set(around)
+        return sum(w in there for w in pattern) >= min_coverage * len(pattern)
+
     def matches(self, text: str, min_coverage: float = MIN_COVERAGE) -> list[tuple[str, str, int, int, float, int, int]]:
         """(license, template, words, matched words, coverage, start, end), by start."""
         words, spans = words_of(text)
         found = []
-        for t, diagonal in self.candidates(words):
+        for t, diagonal in self.candidates(words, min_coverage):
             license_id, name, pattern = self.templates[t]
             matched, first, last = align(pattern, words, diagonal, self.band(t))
             if matched and matched >= min_coverage * len(pattern):

@@ -24,6 +24,18 @@ def test_equals_aligning_everywhere():
         assert index.matches(text) == l.brute_force(text), text
 
 
+def test_short_notices_with_words_put_in_or_replaced():
+    short = [t for t in l.TEMPLATES if len(l.words_of(t[2])[0]) <= l.SHORT]
+    index = l.Index(short)
+    assert [(m[0], m[4]) for m in l.Index(l.TEMPLATES).matches("Licensed under the terms of the MIT License")] == [("MIT", 1.0)]
+    for _, _, notice in short:
+        words = notice.split()
+        for k in range(len(words) + 1):
+            for changed in ([*words[:k], "hereby", *words[k:]], [*words[:k], "the", "terms", "of", *words[k:]], [*words[:k], "other", *words[k + 1 :]]):
+                text = f"{prose(k, 5)} {' '.join(changed)} {prose(k + 50, 4)}"
+                assert index.matches(text) == l.brute_force(text, templates=short), text
+
+
 def test_spans_and_coverage():
     index = l.Index(l.TEMPLATES)
     text = "Intro. Licensed under CC BY-NC 4.0. Released, under THE mit-License."
