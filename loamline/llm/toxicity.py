@@ -14,8 +14,8 @@ them, so that a language with few toxic texts counts by its own texts only. A pi
 that both dictionaries hold, since zstandard stores a short text as it is unless much of it matches.
 
 Labels are learned from a bounded sample: at most ``MOST_TOXIC`` and ``MOST_ORDINARY`` labelled
-rows, chosen by a hash of their id, with ``MOST_CHARS`` characters of each. A part of them trains the
-dictionaries and the rest the calibration. The score is a function of the text alone.
+rows, chosen by a hash of their id, each with its whole text. A part of each
+group trains the dictionaries and the rest the calibration. The score is a function of the text alone.
 
 Defined results: null and empty texts are scored like a text without windows; a row without doc_id
 is scored and never trained on; a doc_id with labels that disagree, or repeated in the documents, is
@@ -41,7 +41,6 @@ from loamline.llm.common import as_bytes, numbered, pick, position
 THRESHOLD = 0.7
 MOST_TOXIC = 1500
 MOST_ORDINARY = 3000
-MOST_CHARS = 8000
 #: Share of the training texts that the dictionaries are trained on; the others calibrate.
 DICTIONARY_SHARE = 0.6
 
@@ -50,6 +49,8 @@ STRIDE = 34
 LEVEL = 6
 LEAST_MATCH = 6
 SHARED_BYTES = 4096
+#: Texts are cut into samples of so many bytes for zstandard's trainer.
+SAMPLE = 512
 #: Bytes of the shared part that every window starts with.
 ANCHOR = 24
 #: Lengths of the byte sequences that are counted, and how often they stand in a text at least.
@@ -273,16 +274,16 @@ def train(rows: list[tuple[bytes, int]]) -> Model:
     total = len(texts[0]) + len(texts[1])
     if not texts[0] or not texts[1]:
         return empty._replace(prior=len(texts[1]) / total if total else 0.0)
-    first = {label: max(1, int(DICTIONARY_SHARE * len(some))) for label, some in texts.items()}
-    learn = {label: some[: first[label]] for label, some in texts.items()}
-    base = _content([t[a : a + 512] for t in learn[0][:900] for a in range(0, min(len(t), 3000), 512)], SHARED_BYTES)
-    centers = _centers(np.array([_profile(t) for t in learn[0]]))
+    centers = _centers(np.array([_profile(t) for t in texts[0]]))
+    learn, held = {}, {}
+    for label, some in texts.items():
+        learn[label], held[label] = _dealt(some, centers)
+    base = _content([t[a : a + SAMPLE] for t in learn[0] for a in range(0, len(t), SAMPLE)], SHARED_BYTES)
     usual = _usual(learn[0] + learn[1], np.array([label for label in (0, 1) for _ in learn[label]]), centers)
     own = {label: b"".join(reversed(_pieces(learn[label], usual[label]))) for label in (0, 1)}
     model = empty._replace(toxic=own[1] + base, ordinary=own[0] + base, prior=len(texts[1]) / total, centers=centers)
     if not model.toxic or not model.ordinary:
         return empty._replace(prior=model.prior)
-    held = {label: some[first[label] :] or some for label, some in texts.items()}
     model = model._replace(usual=_of_group(Scorer(model), held[0]))
     scorer = Scorer(model)
     x = np.array([scorer.features(t) for label in (0, 1) for t in held[label]])
@@ -291,6 +292,17 @@ def train(rows: list[tuple[bytes, int]]) -> Model:
     return model._replace(center=center, spread=spread, weights=_logistic((x - center) / spread, y))
 
 
+def _dealt(texts: list[bytes], centers: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """The texts that train dictionaries, and those that calibrate: the same share of each group."""
+    group = np.array([int((centers @ _profile(t)).argmax()) for t in texts])
+    place = np.zeros(len(texts))
+    for k in range(GROUPS):
+        place[group == k] = (np.arange((group == k).sum()) + 0.5) / max(1, (group == k).sum())
+    first = place < DICTIONARY_SHARE
+    learn, held = ([t for t, x in zip(texts, first, strict=True) if x == side] for side in (True, False))
+    return learn or texts, held or texts
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Newton's method with a ridge on all weights but the last, the constant."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -319,7 +331,7 @@ def training_rows(documents: DataFrame, labels: DataFrame, *, id_col: str, text_
     if not ids:
         return []
     wanted = documents.sparkSession.createDataFrame(ids, chosen.schema).coalesce(1)
-    docs = pick(documents, doc_id=id_col, text=text_col).withColumn("text", F.substring(F.coalesce("text", F.lit("")), 1, MOST_CHARS))
+    docs = pick(documents, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     found = docs.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"), F.max("text").alias("last")).where("text = last")
     rows = {r[0]: (r[1].encode(), r[2]) for r in found.select("doc_id", "text", "y").collect()}
     return [rows[i] for i, _ in ids if i in rows]

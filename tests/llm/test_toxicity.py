@@ -1,7 +1,9 @@
+import math
 import random
 
 import duckdb
 import pytest
+import zstandard
 
 from loamline.llm import toxicity as t
 from loamline.llm.queries import QUERIES
@@ -66,21 +68,76 @@ def test_filter_keeps_all_columns(spark, model, monkeypatch):
     assert t.drop_toxic(documents.limit(0), None).count() == 0
 
 
-def test_query_on_held_out_rows(spark):
-    folder = "/root/testdata/sf0.1"
-    # these tables mark texts in other languages as toxic without any word that tells
-    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{folder}/labels.parquet' JOIN '{folder}/documents.parquet' USING (doc_id) WHERE lang = 'en'").fetchall())
-    got = [(r["score"], r["predicted"], labels[r["doc_id"]]) for r in QUERIES["op6_toxicity"](spark, folder).collect() if r["held_out"] and r["doc_id"] in labels]
-    toxic, clean = [g for g in got if g[2]], [g for g in got if not g[2]]
-    assert sum(g[1] for g in toxic) / len(toxic) > 0.75 and sum(g[1] for g in clean) / len(clean) < 0.02
-    above = sum((a[0] > b[0]) + 0.5 * (a[0] == b[0]) for a in toxic for b in clean)
-    assert above / (len(toxic) * len(clean)) > 0.93
+def by_hand(model, text):
+    """The score, window by window, from the model's two dictionaries and numbers alone."""
+    text = b" ".join(text.lower().split())
+    sizes = zstandard.ZstdCompressionParameters.from_level(6, min_match=6, strategy=zstandard.STRATEGY_LAZY, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
+
+    def size(window, content):
+        dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=sizes).compress(window))
+
+    saved, at = [], 0
+    while text and (at == 0 or at + 14 < len(text)):
+        window = model.ordinary[-24:] + text[at : at + 48]
+        saved.append(size(window, model.ordinary) - size(window, model.toxic))
+        at += 34
+    pairs = [0] * 1021
+    for a, b in zip(text, text[1:], strict=False):
+        pairs[(a * 256 + b) % 1021] += 1
+    near = max(range(len(model.centers)), key=lambda k: sum(c * math.sqrt(n) for c, n in zip(model.centers[k], pairs, strict=True)))
+    middle, spread, share = model.usual[near]
+    n, mean, large = len(saved), sum(saved) / max(1, len(saved)), sum(x >= 2 for x in saved)
+    above = max((mean - middle) / (spread + 0.04), -2)
+    more = max((large - n * share) / math.sqrt(n * share + 0.5), -2)
+    features = [min(above, 6), min(more, 6), min(above, 3), min(more, 3), min(large, 2), min(large, 4), max(saved, default=0), math.log1p(n)]
+    z = sum(w * (f - c) / s for w, f, c, s in zip(model.weights, features, model.center, model.spread, strict=False)) + model.weights[-1]
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def test_score_equals_one_worked_out_by_hand(model):
+    scorer = t.Scorer(model)
+    for text in [b"", b" ", b"a", b"you worthless idiot", *(x for x, _ in rows(25, seed=3)), prose(8, 900).encode()]:
+        assert scorer.score(text) == pytest.approx(by_hand(model, text), abs=1e-9)
+
+
+def test_report_with_a_trained_model(spark):
+    texts = [(i, x.decode()) for i, (x, _) in enumerate(rows(240, seed=2))]
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows(240, seed=2))], "doc_id long, toxic int")
+    extra = [(1000, None), (1001, ""), (1002, LONG), (1003, "you worthless pathetic idiot. " * 3 + prose(6, 20)), (None, prose(7, 30)), (1004, prose(7, 30)), (1004, prose(7, 30))]
+    got = t.report(awkward(spark, texts + extra), labels).collect()
+    assert len(got) == len(texts) + len(extra) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in got)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["doc_id"], []).append(r["score"])
+    assert by_id[1000] == by_id[1001] and by_id[1004][0] == by_id[1004][1] == by_id[None][0]
+    assert by_id[1003][0] >= 0.7 > max(by_id[1000] + by_id[1002] + by_id[1004])
+
+
+def test_whole_texts_are_learned_from(spark):
+    tail = "x" * 9000 + " end"
+    docs = spark.createDataFrame([(i, f"{i} {tail}") for i in range(6)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    got = t.training_rows(docs, labels, id_col="doc_id", text_col="text", label_id_col="doc_id", label_col="toxic")
+    assert got and all(x.endswith(b" end") for x, _ in got)
 
 
-def test_query_finds_every_language_on_held_out_rows(spark):
+@pytest.fixture(scope="module")
+def on_held_out_rows(spark):
+    """(lang, label, score, predicted) of the labelled rows that nothing was learned from."""
     folder = "/root/testdata/sf0.1"
     labels = {i: (lang, toxic) for i, lang, toxic in duckdb.sql(f"SELECT doc_id, lang, toxic FROM '{folder}/labels.parquet' JOIN '{folder}/documents.parquet' USING (doc_id)").fetchall()}
-    got = [(r["predicted"], *labels[r["doc_id"]]) for r in QUERIES["op6_toxicity"](spark, folder).collect() if r["held_out"] and r["doc_id"] in labels]
+    return [(*labels[r["doc_id"]], r["score"], r["predicted"]) for r in QUERIES["op6_toxicity"](spark, folder).collect() if r["held_out"] and r["doc_id"] in labels]
+
+
+def test_query_on_held_out_rows_of_all_languages(on_held_out_rows):
+    toxic, clean = ([g for g in on_held_out_rows if g[1] == label] for label in (1, 0))
+    assert sum(g[3] for g in toxic) / len(toxic) > 0.75 and sum(g[3] for g in clean) / len(clean) < 0.02
+    above = sum((a[2] > b[2]) + 0.5 * (a[2] == b[2]) for a in toxic for b in clean)
+    assert above / (len(toxic) * len(clean)) > 0.93
+
+
+def test_query_on_held_out_rows_of_each_language(on_held_out_rows):
     for lang in ("de", "en", "es", "fr"):
-        toxic, clean = ([p for p, x, y in got if x == lang and y == label] for label in (1, 0))
+        toxic, clean = ([g[3] for g in on_held_out_rows if g[0] == lang and g[1] == label] for label in (1, 0))
         assert sum(toxic) / len(toxic) > 0.5 and sum(clean) / len(clean) < 0.04, lang
