@@ -7,7 +7,7 @@ a line feed, the flattened text and ``</s>`` for each turn. Everything is a Data
 
 Escaping puts a backslash before every backslash and behind the first character of every control
 string, so no control string survives inside a text, and taking each backslash away again gives the
-text back. A role's line feeds and per cent signs are percent-encoded.
+text back. Neighbouring text parts are joined before, so none survives that is split over parts. A role's line feeds and per cent signs are percent-encoded.
 
 The loss mask is a list of spans of the formatted string (code points, end exclusive), one for each
 assistant turn, over its flattened text alone.
@@ -19,6 +19,8 @@ their own; unknown part kinds are treated as documents; empty tables give no con
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ TOKENS_A_PAGE = 512
 PARTS = "array<struct<kind:string,text:string,reference:string,width:int,height:int,seconds:double,pages:int>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, _ESCAPES, r"$2$4\\$1$3$5")
 
@@ -78,9 +85,17 @@ def visited(parts: Column) -> Column:
     """
     others = F.filter(parts, lambda p: _kind(p) != "text")
     marked = F.transform(others, lambda p, i: F.struct((i + 1).alias("n"), _kind(p).alias("kind"), p["reference"].alias("reference"), expanded_tokens(p).alias("tokens")))
-    before = lambda i: F.size(F.filter(F.slice(parts, 1, i), lambda p: _kind(p) != "text"))
-    shown = F.transform(parts, lambda p, i: F.when(_kind(p) == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("["), _kind(p), F.lit(" "), (F.when(i > 0, before(i)).otherwise(0) + 1).cast("string"), F.lit("]"))))
-    return F.struct(F.array_join(shown, "").alias("flat"), marked.alias("attachments"))
+    return let(F.struct(parts.alias("parts"), marked.alias("marked")), _flattened)
+
+
+def _flattened(x: Column) -> Column:
+    """What stands between attachments is one text; escaped texts and placeholders take turns."""
+    at = F.filter(F.transform(x["parts"], lambda p, i: F.when(_kind(p) != "text", i + 1)), lambda i: i.isNotNull())
+    edges = F.concat(F.array(F.lit(0)), at, F.array(F.size(x["parts"]) + 1))
+    shown = F.transform(x["marked"], lambda m: F.concat(F.lit("["), m["kind"], F.lit(" "), m["n"].cast("string"), F.lit("]")))
+    between = lambda a, b: F.array_join(F.transform(F.slice(x["parts"], a + 1, b - a - 1), lambda p: F.coalesce(p["text"], F.lit(""))), "")
+    flat = let(edges, lambda e: F.transform(F.slice(e, 2, F.size(e) - 1), lambda end, k: F.concat(escape(between(F.get(e, k), end)), F.coalesce(F.get(shown, k), F.lit("")))))
+    return F.struct(F.array_join(flat, "").alias("flat"), x["marked"].alias("attachments"))
 
 
 def format_parts(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", parts_col: str = "parts") -> DataFrame:
@@ -90,9 +105,10 @@ def format_parts(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     """
     rows = pick(turns, conv_id=conv_col, turn=turn_col, role=role_col, parts=parts_col)
     rows = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), visited(F.coalesce(F.col("parts"), F.expr(f"cast(array() as {PARTS})"))).alias("seen"))
-    rows = rows.select("conv_id", "turn", "role", F.concat(F.lit(OPEN), _role_out(F.col("role")), F.lit("\n")).alias("head"), F.col("seen.flat").alias("flat"), F.col("seen.attachments").alias("attachments"))
-    rows = rows.withColumn("piece", F.concat("head", "flat", F.lit(CLOSE)))
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "flat")
+    # texts are escaped where they are read, and travel once; what follows is put together behind the shuffle
+    rows = rows.select("conv_id", "turn", "role", "seen.flat", "seen.attachments").repartition("conv_id")
+    rows = rows.withColumn("piece", F.concat(F.lit(OPEN), _role_out(F.col("role")), F.lit("\n"), "flat", F.lit(CLOSE)))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", unescape(F.col("flat")))
     rows = rows.withColumn("n", F.row_number().over(order)).withColumn("end", F.sum(F.length("piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     stop = F.col("end") - len(CLOSE)
     span = F.when(F.col("role") == "assistant", F.struct((stop - F.length("flat")).alias("start"), stop.alias("end")))
