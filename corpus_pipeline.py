@@ -2,11 +2,16 @@
 
 Each stage is a function of (spark, docs, sf_dir); a runner writes its result as Parquet and hands
 what it reads back to the next stage. All stages but the last return the columns of documents.
+
+Defined results: a null text is kept like an empty one by every filter, stays null under masking and
+has no piece ids (near-duplicate removal keeps one of all texts without words); a null doc_id is a
+document like any other; of exact and near copies the one with the smallest doc_id stays, one of
+rows that are alike in everything; an empty documents table gives no rows, empty labels or benchmark
+remove none; further columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +19,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm import decontaminate, pieces, pii, simhash, toxicity
 from loamline.llm.common import table
+from loamline.session import remove_folder, shared_folder
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +58,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over documents; what lies between them is written to the shared folder."""
-    context = spark.sparkContext
-    shared = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loamline-pipeline-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
     return docs

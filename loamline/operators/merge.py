@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.functions.text import norm, url_key
 from loamline.operators.registry import REQUIRED, new_candidates
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loamline-checkpoint-"))
-    return df.checkpoint()
+from loamline.session import checkpoint
 
 
 def incomplete(proposals: DataFrame) -> DataFrame:
@@ -35,16 +27,16 @@ def first_kept(proposals: DataFrame, order: list[str]) -> DataFrame:
     kept one; rounds end when no row is undecided. order must tell rows apart.
     """
     place = F.struct(*order)
-    left = _cut(proposals.withColumns({"_place": place, "_url": url_key(F.col("url")), "_title": norm(F.col("title"))}))
+    left = checkpoint(proposals.withColumns({"_place": place, "_url": url_key(F.col("url")), "_title": norm(F.col("title"))}))
     kept: DataFrame | None = None
     while left.limit(1).count():
         firsts = left.withColumns({"_fu": F.min("_place").over(Window.partitionBy("_url")), "_ft": F.min("_place").over(Window.partitionBy("_title"))})
-        marked = _cut(firsts.withColumn("_take", (F.col("_place") == F.col("_fu")) & (F.col("_place") == F.col("_ft"))).drop("_fu", "_ft"))
+        marked = checkpoint(firsts.withColumn("_take", (F.col("_place") == F.col("_fu")) & (F.col("_place") == F.col("_ft"))).drop("_fu", "_ft"))
         taken = marked.where("_take").drop("_take")
         kept = taken if kept is None else kept.unionByName(taken)
         rest = marked.where("not _take").drop("_take")
         rest = rest.join(taken.select("_url").distinct(), "_url", "left_anti").join(taken.select("_title").distinct(), "_title", "left_anti")
-        left = _cut(rest.select(marked.drop("_take").columns))
+        left = checkpoint(rest.select(marked.drop("_take").columns))
     return (left if kept is None else kept).drop("_place", "_url", "_title")
 
 

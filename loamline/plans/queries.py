@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -14,6 +13,7 @@ from loamline.operators import coverage, fetch, html, lines, merge, prune, quali
 from loamline.operators.discovery import license_of_id, permissive_or_open, topic
 from loamline.plans import answers, oracle
 from loamline.plans.derived import fixture_documents, line_documents, manifest, table
+from loamline.session import remove_folder, shared_folder
 from loamline.streaming import rounds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -531,12 +531,13 @@ _ROUND = "doc_id long, url string, title string"
 @query
 def round_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A round over the documents as a stream of candidates: what it commits, batch by batch."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loamline-round-")
-    folder = f"{shared.rstrip('/')}/round-{uuid4().hex}"
+    folder = f"{shared_folder(spark)}/round-{uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", F.concat(F.lit("https://"), "source", F.lit(".example.org/"), (F.col("doc_id") % 700).cast("string")).alias("url"), F.substring(F.split("text", "\n")[0], 1, 150).alias("title"))
     for k in range(2):  # two files arrive one after the other; the second round sees the first
         rows.where(F.col("doc_id") % 2 == k).coalesce(4).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(_ROUND).parquet(f"{folder}/in")
         rounds.run_available(stream, f"{folder}/out", f"{folder}/checkpoint", _ROUND, ["doc_id"])
+    for done in ("in", "checkpoint"):
+        remove_folder(spark, f"{folder}/{done}")
     return rounds.committed(spark, f"{folder}/out", _ROUND)
