@@ -8,7 +8,6 @@ names that differ in case only.
 from __future__ import annotations
 
 import hashlib
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -46,19 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared checkpoint folder.
-
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is unset, as in local
-    tests, a folder of our own is chosen.
-    """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loamline-checkpoint-"))
-    return df.checkpoint()
-
-
 def over_batches(df: DataFrame, step: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow of a function that turns one record batch into any number of them."""
 

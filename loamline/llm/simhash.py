@@ -31,7 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import as_bytes, checkpoint, numbered, over_batches, pick
+from loamline.llm.common import as_bytes, numbered, over_batches, pick
+from loamline.session import checkpoint
 
 SEED = 42
 SHINGLE = 3

@@ -2,9 +2,12 @@ import hashlib
 import random
 import re
 
+import duckdb
+
 from loamline.llm import secrets as s
-from loamline.llm.queries import QUERIES
+from loamline.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.fixtures import LONG, awkward
+from tests.oracle import compare, connect
 
 PATTERNS = [r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", r"AKIA[A-Z0-9]+", r"[0-9a-f]+"]
 GOOD = [lambda m: len(m[1]) >= 6, lambda m: len(m[0]) >= 20, lambda m: len(m[0]) >= 24]
@@ -45,13 +48,36 @@ def test_ownership_separates_examples_from_live_keys(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
     found = {r["doc_id"]: r for r in s.scan(df, repo_col="repo", owner_col="owner").collect()}
     assert found[0]["n_example"] == 1 and found[0]["spans"] == []
-    assert [(x["start"], x["value"]) for x in found[10]["spans"]] == [(4, own)] and found[10]["n_live"] == 1
+    assert [(x["start"], x["hash"]) for x in found[10]["spans"]] == [(4, hashlib.sha256(own.encode()).hexdigest())] and found[10]["n_live"] == 1
     assert found[20]["n_live"] == found[20]["n_example"] == 0
     counts = {r["value_hash"]: (r["n_docs"], r["n_repos"], r["n_owners"], r["verdict"]) for r in s.ownership(s.candidates(df, repo_col="repo", owner_col="owner")).collect()}
     assert counts[hashlib.sha256(shared.encode()).hexdigest()] == (4, 4, 4, "example")
     assert counts[hashlib.sha256(own.encode()).hexdigest()] == (6, 6, 2, "live")
 
 
+def test_one_owner_may_copy_an_example_over_many_repositories(spark):
+    key = "Qw3" + "eR4tY5uI6oP7aS8dF9"
+    for n, verdict in ((s.EXAMPLE_REPOS - 1, "live"), (s.EXAMPLE_REPOS, "example")):
+        df = spark.createDataFrame([(i, f"run {key} now", f"repo{i}", "owner") for i in range(n)], "doc_id long, text string, repo string, owner string")
+        assert [(r["n_repos"], r["n_owners"], r["verdict"]) for r in s.ownership(s.candidates(df, repo_col="repo", owner_col="owner")).collect()] == [(n, 1, verdict)]
+
+
+def test_no_value_is_written_between_steps(spark):
+    found = s.candidates(awkward(spark, [(1, f"password: {KEY} and Bearer_a1B2c3D4e5F6g7H8i9J0k1")]))
+    assert KEY not in str(found.collect()) and "Bearer" not in str(found.collect()) and found.select("base.hash").first()[0]
+
+
+def test_query_and_hand_made_texts_equal_the_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    compare(connect(folder), QUERIES["op8_secrets"](spark, folder), ORACLE_SQL["op8_secrets"])
+    con = duckdb.connect()
+    rows = [(i, t, f"s{i % 5}" if i % 7 else None) for i, t in enumerate([*texts(), *texts()[:50], None, "", f"see {KEY}x"])]
+    rows += [(None, texts()[3], "s1")]
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    compare(con, s.report(spark.createDataFrame(rows, "doc_id long, text string, source string")), ORACLE_SQL["op8_secrets"])
+
+
 def test_awkward_rows(spark):
     rows = [(1, KEY), (1, KEY), (None, KEY), (2, None), (3, "")]
     got = s.report(awkward(spark, rows)).collect()
