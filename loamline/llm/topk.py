@@ -9,14 +9,20 @@ norms, a lower bound on the distance is an upper bound on the inner product. Can
 dropped coarse to fine where the bound cannot reach the k-th best score found so far; survivors
 get their exact score, so the result is exact.
 
-The queries are held in blocks of bounded bytes; each block is scanned against all rows in one
-narrow pass, in which a task keeps k rows a query, and the tasks' rows are merged a query at a time.
+The queries are taken in blocks of bounded bytes, one after the other: a block is fetched and sent out,
+all rows are scanned against it in one narrow pass, in which a task keeps k rows a query, the
+tasks' rows are merged a query at a time, and the k rows of each are written out before the next
+block is fetched. So the driver and the workers hold one block, however large the table. As every
+hundredth row is a query, exact search takes a number of pairs that grows with the square of the
+table, and a scan of the table for every ``BLOCK_BYTES`` of queries: 1 GB of queries (100 GB of
+vectors) takes 250 scans.
 
 Defined results: vectors that are null, or hold null or non-finite components, and rows of a null id
 take no part; a row's own id is never among its results; a repeated query id is asked once, with
 its smallest vector; repeated candidate rows each count; ties go to the smaller id; vectors of
 different lengths are not compared; with fewer than k candidates all are returned; an empty table
-gives no rows. Scores beyond the range of a long are clipped to it.
+gives no rows. A component whose product with 1024 is beyond a double counts as the greatest double of
+its sign. Scores beyond the range of a long are clipped to it.
 """
 
 from __future__ import annotations
@@ -29,13 +35,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.llm.common import pick
+from loamline.session import checkpoint
 
 K = 10
 SCALE = 1024.0
 LEVELS = (1, 4, 16)
 #: Bytes of query vectors, as doubles, that one pass holds.
 BLOCK_BYTES = 4 << 20
+#: Rows that are brought before a block's queries together, and pairs of them at most.
 CHUNK = 2048
+MOST_PAIRS = 1 << 23
 #: Share of a chunk's pairs from which on the survivors are scored by one matrix product.
 DENSE = 0.02
 #: Up to this magnitude doubles add integer products of up to 2**11 components exactly.
@@ -43,7 +52,10 @@ SAFE = float(1 << 20)
 
 
 def quantised(values: np.ndarray) -> np.ndarray:
-    return np.floor(SCALE * values.astype(np.float64))
+    most = np.finfo(np.float64).max
+    with np.errstate(over="ignore"):
+        scaled = np.floor(SCALE * values.astype(np.float64))
+    return np.where(np.isfinite(values), np.clip(scaled, -most, most), scaled)
 
 
 def vectors_of(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -123,9 +135,11 @@ class Best:
 
 def scan(best: Best, ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, statistics: Statistics) -> None:
     """Brings rows of one length before the queries of that length."""
-    for a in range(0, len(ids), CHUNK):
-        chunk, own = matrix[a : a + CHUNK], ids[a : a + CHUNK]
-        seen = Statistics(chunk)
+    size = max(1, min(CHUNK, MOST_PAIRS // max(1, len(query_ids))))
+    for a in range(0, len(ids), size):
+        chunk, own = matrix[a : a + size], ids[a : a + size]
+        with np.errstate(over="ignore", invalid="ignore"):
+            seen = Statistics(chunk)
         rows, cols = np.arange(len(own)), np.arange(len(query_ids))
         alive = np.ones((len(rows), len(cols)), dtype=bool)
         for level in range(len(seen.levels)):
@@ -167,23 +181,31 @@ def top_k(table: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedd
     asked = rows.where((F.col("vec_id") % every == 0) & ~bad).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     total = asked.agg(F.sum(F.size("vector") * 8 + 64)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    context = table.sparkSession.sparkContext
     found = None
     for i in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i).orderBy("vec_id").collect()
-        by_length: dict[int, list] = {}
-        for ident, vector in part:
-            by_length.setdefault(len(vector), []).append((ident, vector))
-        packed = {n: (np.array([x[0] for x in some], dtype=np.int64), quantised(np.array([x[1] for x in some], dtype=np.float64).reshape(len(some), n))) for n, some in by_length.items()}
-        local = _local(rows, context.broadcast(packed), k)
-        found = local if found is None else found.unionAll(local)
+        best = _of_block(rows, asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i), k)
+        if blocks == 1:
+            return best
+        best = checkpoint(best)
+        found = best if found is None else found.unionAll(best)
+    return found
+
+
+def _of_block(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The result for the queries of one block."""
+    by_length: dict[int, list] = {}
+    for ident, vector in asked.orderBy("vec_id").collect():
+        by_length.setdefault(len(vector), []).append((ident, vector))
+    packed = {n: (np.array([x[0] for x in some], dtype=np.int64), quantised(np.array([x[1] for x in some], dtype=np.float64).reshape(len(some), n))) for n, some in by_length.items()}
+    found = _local(rows, rows.sparkSession.sparkContext.broadcast(packed), k)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _local(rows: DataFrame, packed, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = {n: (ids, matrix, Statistics(matrix)) for n, (ids, matrix) in packed.value.items()}
+        with np.errstate(over="ignore", invalid="ignore"):
+            asked = {n: (ids, matrix, Statistics(matrix)) for n, (ids, matrix) in packed.value.items()}
         best = {n: Best(len(ids), k) for n, (ids, _, _) in asked.items()}
         for batch in batches:
             ids = np.asarray(batch.column("vec_id").to_numpy(zero_copy_only=False), dtype=np.int64)
