@@ -1,8 +1,10 @@
 """Cleaning by line rules, with every dropped line attributed to the first rule that claims it.
 
-Documents become one row a line. The shape of a line is a column expression; what depends on other
-lines of the document is a window over the document. A document without a claimed line keeps its
-text unchanged; one with claims has its remaining blank runs collapsed to a single blank line.
+A document's lines are an array within its row, so cleaning is a narrow map: nothing is shuffled, and
+rows that share an id do not meet. The shape of a line is a column expression; what depends on other
+lines looks at neighbours in sorted arrays, so a document of n lines takes about n log n steps. A
+document without a claimed line keeps its text unchanged; one with claims has its remaining blank
+runs collapsed to a single blank line.
 """
 
 from __future__ import annotations
@@ -10,10 +12,10 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.functions.text import body, chars_in, header, sha256, strip
+from loamline.functions.text import body, chars_in, header, let, sha256, strip
 
 # The rules in canonical order, and what each is for.
 RULES = {
@@ -98,15 +100,8 @@ def parse_rules(spec: str) -> list[str]:
     return [r for r in RULES if r in wanted]
 
 
-def exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, i, line, s (the line stripped) of each document's body."""
-    split = F.split(body(F.coalesce(F.col(text_col), F.lit(""))), "\n", -1)
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(split).alias("i", "line"))
-    return lines.withColumn("s", strip(F.col("line")))
-
-
 def shapes(line: Column, s: Column) -> dict[str, Column]:
-    """What a line's own characters say, by rule (or part of a rule)."""
+    """What a line's own characters say, by rule (or part of a rule); what is cheap to test comes first."""
     dense = F.replace(s, F.lit(" "), F.lit(""))
     digits = chars_in(dense, r"\p{Nd}")
     letter = s.rlike(r"\p{L}")
@@ -114,74 +109,120 @@ def shapes(line: Column, s: Column) -> dict[str, Column]:
     other = s.rlike(r"[\p{Nl}\p{No}]")
     few_digits = (F.length(dense) == 0) | (digits / F.length(dense) < 0.10)
     marks = F.length(F.regexp_replace(s, r"(?U)[\p{L}\p{N}_\s\x1c-\x1f]+", ""))
+    size = F.length(s)
     return {
-        "toc_leaders": s.rlike(shape(TOC_LEADER, case=False)),
+        "toc_leaders": s.contains("....") & s.rlike(shape(TOC_LEADER, case=False)),
         "page_markers": (s != "") & s.rlike(shape(PAGE_MARKER, case=False)) & s.rlike(r"[\p{L}\p{N}]"),
-        "orphan_chars": F.length(s).between(1, 2),
-        "identifier": s.rlike(shape(PATENT_ID)) & ~s.rlike(shape(MONEY)) & ~s.rlike(shape(CATALOG)),
-        "patent_furniture": s.isin(PATENT_LABELS) | s.rlike(shape(SUBSTANCE)) | s.rlike(shape(ISO_DATE)),
+        "orphan_chars": size.between(1, 2),
+        "identifier": size.between(8, 24) & s.rlike(shape(PATENT_ID)) & ~s.rlike(shape(MONEY)) & ~s.rlike(shape(CATALOG)),
+        "patent_furniture": s.isin(PATENT_LABELS) | ((size == 12) & s.rlike(shape(SUBSTANCE))) | ((size == 10) & s.rlike(shape(ISO_DATE))),
         "site_chrome": s.isin(SITE_LABELS),
-        "ocr_debris": (F.length(s) >= 2) & ~letter & ~other & few_digits & (marks >= 2),
-        "annotation": (s != "") & (line.rlike(shape(ANNOTATION)) | s.rlike(shape(TAG_ONLY, case=False))),
-        "coordinates": (F.length(s) > 6) & s.rlike(shape(COORDINATES)) & (F.length(s) - F.length(F.replace(s, F.lit(","), F.lit(""))) >= 2),
+        "ocr_debris": (size >= 2) & ~letter & ~other & few_digits & (marks >= 2),
+        "annotation": (s != "") & (line.rlike(shape(ANNOTATION)) | (s.startswith("<") & s.rlike(shape(TAG_ONLY, case=False)))),
+        "coordinates": (size > 6) & s.contains(",") & s.rlike(shape(COORDINATES)) & (size - F.length(F.replace(s, F.lit(","), F.lit(""))) >= 2),
     }
 
 
-def flagged(lines: DataFrame, rules: list[str] | None = None) -> DataFrame:
-    """The lines with one boolean column for each rule, and rule: the first that claims the line."""
+def _repeated(lines: Column) -> Column:
+    """For each line whether its text stands in the document REPEATS times: equal texts are neighbours when sorted."""
+    order = F.array_sort(F.transform(lines, lambda x: F.struct(x["s"].alias("s"), x["i"].alias("i"))))
+
+    def in_run(texts: Column) -> Column:
+        run = lambda k: reduce(lambda a, b: a | b, [F.coalesce((k >= j) & (F.get(texts, k - j)["s"] == F.get(texts, k - j + REPEATS - 1)["s"]), F.lit(False)) for j in range(REPEATS)])
+        return F.array_sort(F.transform(texts, lambda x, k: F.struct(x["i"].alias("i"), run(k).alias("on"))))
+
+    return let(order, in_run)
+
+
+def _near(lines: Column) -> Column:
+    """For each line whether a neighbour among the lines that are not blank is an identifier."""
+    full, blank = F.filter(lines, lambda x: x["s"] != ""), F.filter(lines, lambda x: x["s"] == "")
+
+    def beside(some: Column) -> Column:
+        at = lambda k: F.coalesce((k >= 0) & F.get(some, k)["identifier"], F.lit(False))
+        return F.array_sort(F.concat(F.transform(some, lambda x, k: F.struct(x["i"].alias("i"), (at(k - 1) | at(k + 1)).alias("on"))), F.transform(blank, lambda x: F.struct(x["i"].alias("i"), F.lit(False).alias("on")))))
+
+    return F.when(F.exists(lines, lambda x: x["identifier"]), let(full, beside))
+
+
+def _chained(lines: Column) -> Column:
+    """For each line a letter: M for a coordinate line that lines without a gap lead back from to an annotation."""
+    letters = F.array_join(F.transform(lines, lambda x: F.when(x["annotation"], "A").when(x["coordinates"], "C").otherwise("x")), "")
+    return F.when(F.exists(lines, lambda x: x["coordinates"]), F.split(F.regexp_replace(letters, r"(?:(?<=A)|(?!^)\G)C", "M"), ""))
+
+
+def marks(text: Column, rules: list[str] | None = None) -> Column:
+    """The body's lines: array of i, line, s (stripped), one boolean for each rule, and rule: the first that claims the line."""
     rules = list(RULES) if rules is None else rules
-    found = shapes(F.col("line"), F.col("s"))
-    out = lines.withColumns({f"is_{name}": value for name, value in found.items()})
-    document = Window.partitionBy("id").orderBy("i")
-    before, after = document.rowsBetween(Window.unboundedPreceding, -1), document.rowsBetween(1, Window.unboundedFollowing)
-    neighbour = F.when(F.col("s") != "", F.col("is_identifier"))
-    near = F.coalesce(F.last(neighbour, ignorenulls=True).over(before), F.lit(False)) | F.coalesce(F.first(neighbour, ignorenulls=True).over(after), F.lit(False))
-    # a coordinate line goes only if the lines before it lead back to an annotation without a gap
-    chain = F.last(F.when(F.col("is_annotation") | ~F.col("is_coordinates"), F.col("is_annotation")), ignorenulls=True).over(before)
-    repeated = F.count("*").over(Window.partitionBy("id", "s")) >= REPEATS
-    out = out.withColumns({
-        "is_repeated_boilerplate": (F.length("s") > REPEAT_LENGTH) & repeated,
-        "is_patent_id_soup": F.col("is_identifier") & near,
-        "is_code_annotations": F.col("is_annotation") | (F.col("is_coordinates") & F.coalesce(chain, F.lit(False))),
-    })
-    rule = reduce(lambda rest, name: F.when(F.col(f"is_{name}"), name).otherwise(rest), reversed(rules), F.lit(None).cast("string"))
-    return out.select("id", "i", "line", "s", *[f"is_{name}" for name in RULES], rule.alias("rule"))
-
-
-def attribution(lines: DataFrame) -> DataFrame:
-    """id, rule, dropped_chars: each claimed line counts with its line feed, unstripped."""
-    claimed = flagged(lines).where("rule is not null")
-    return claimed.groupBy("id", "rule").agg(F.sum(F.length("line") + 1).cast("long").alias("dropped_chars"))
-
-
-def rejoined(marked: DataFrame) -> DataFrame:
-    """id, claimed (number of lines), kept_text: what remains, blank runs collapsed."""
-    document = Window.partitionBy("id").orderBy("i")
-    kept = marked.withColumn("claimed", F.count("rule").over(Window.partitionBy("id"))).where("rule is null")
-    blank = F.col("s") == ""
-    kept = kept.withColumn("gone", blank & F.coalesce(F.lag(blank).over(document), F.lit(False)) & (F.col("claimed") > 0)).where(~F.col("gone"))
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), "\n")
-    return kept.groupBy("id").agg(F.max("claimed").alias("claimed"), joined.alias("kept_text"))
+    each = F.transform(F.split(text, "\n", -1), lambda line, i: let(strip(line), lambda s: F.struct(i.alias("i"), line.alias("line"), s.alias("s"), *[value.alias(name) for name, value in shapes(line, s).items()])))
+
+    def flagged_line(x: Column, seen: Column) -> Column:
+        on = {name: x[name] for name in RULES if name not in ("repeated_boilerplate", "patent_id_soup", "code_annotations")}
+        on["repeated_boilerplate"] = (F.length(x["s"]) > REPEAT_LENGTH) & F.get(seen["repeated"], x["i"])["on"]
+        on["patent_id_soup"] = x["identifier"] & F.coalesce(F.get(seen["near"], x["i"])["on"], F.lit(False))
+        on["code_annotations"] = x["annotation"] | (x["coordinates"] & F.coalesce(F.get(seen["chained"], x["i"]) == "M", F.lit(False)))
+        first = reduce(lambda rest, name: F.when(on[name], name).otherwise(rest), reversed(rules), F.lit(None).cast("string"))
+        return F.struct(x["i"].alias("i"), x["line"].alias("line"), x["s"].alias("s"), *[on[name].alias(f"is_{name}") for name in RULES], first.alias("rule"))
+
+    def together(lines: Column) -> Column:
+        seen = F.struct(_repeated(lines).alias("repeated"), _near(lines).alias("near"), _chained(lines).alias("chained"))
+        return let(seen, lambda known: F.transform(lines, lambda x: flagged_line(x, known)))
+
+    return let(each, together)
+
+
+def marked(docs: DataFrame, id_col: str = "id", text_col: str = "text", rules: list[str] | None = None) -> DataFrame:
+    """id, head (the header), marks of each document, row by row."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), header(text).alias("head"), marks(body(text), rules).alias("marks"))
+
+
+def flagged(docs: DataFrame, id_col: str = "id", text_col: str = "text", rules: list[str] | None = None) -> DataFrame:
+    """One row a line: id, i, line, s, one boolean column for each rule, and rule."""
+    return marked(docs, id_col, text_col, rules).select("id", F.inline("marks"))
+
+
+def _dropped(found: Column) -> Column:
+    """Characters that each rule claims, as an array in the rules' order: a line counts with its line feed, unstripped."""
+    sums = lambda name: F.aggregate(found, F.lit(0).cast("long"), lambda acc, x: acc + F.when(x["rule"] == name, F.length(x["line"]) + 1).otherwise(0))
+    some = F.exists(found, lambda x: x["rule"].isNotNull())
+    return F.when(some, F.array(*[F.struct(F.lit(name).alias("rule"), sums(name).alias("dropped_chars")) for name in RULES]))
+
+
+def attribution(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """id, rule, dropped_chars, for each document and rule that claims a line of it."""
+    found = marked(docs, id_col, text_col).select("id", _dropped(F.col("marks")).alias("dropped"))
+    return found.select("id", F.inline("dropped")).where("dropped_chars > 0")
+
+
+def kept_text(found: Column) -> Column:
+    """What remains of the marked lines; where some are claimed, with blank runs collapsed."""
+    left = F.filter(found, lambda x: x["rule"].isNull())
+
+    def joined(some: Column) -> Column:
+        blank = lambda k: (k >= 0) & (F.get(some, k)["s"] == "")
+        once = F.filter(some, lambda x, k: (x["s"] != "") | ~blank(k - 1))
+        chosen = F.when(F.size(some) == F.size(found), some).otherwise(once)
+        return F.array_join(F.transform(chosen, lambda x: x["line"]), "\n")
+
+    return let(left, joined)
 
 
 def cleaned(docs: DataFrame, id_col: str = "id", text_col: str = "text", rules: list[str] | None = None) -> DataFrame:
-    """id, cleaned_text (header kept), corpus_chars (of the body), corpus_sha256."""
-    head = docs.select(F.col(id_col).alias("id"), header(F.coalesce(F.col(text_col), F.lit(""))).alias("head"))
-    joined = rejoined(flagged(exploded(docs, id_col, text_col), rules))
-    text = F.coalesce("kept_text", F.lit(""))
-    out = head.join(joined, "id", "left").select("id", F.concat("head", text).alias("cleaned_text"), F.length(text).cast("long").alias("corpus_chars"))
-    return out.withColumn("corpus_sha256", sha256(F.col("cleaned_text")))
-
-
-def report(lines: DataFrame) -> DataFrame:
-    """rule, dropped_chars and its share of all body characters, in per cent; every rule has a row."""
-    # a body has one line feed fewer than lines, so its first line counts without one
-    size = F.length("line") + F.when(F.col("i") > 0, 1).otherwise(0)
-    total = lines.agg(F.sum(size)).first()[0]
-    order = lines.sparkSession.createDataFrame([(r, k) for k, r in enumerate(RULES)], "rule string, place int")
-    sums = attribution(lines).groupBy("rule").agg(F.sum("dropped_chars").alias("dropped"))
-    dropped = F.coalesce("dropped", F.lit(0)).cast("long")
-    return F.broadcast(order).join(sums, "rule", "left").select("rule", "place", dropped.alias("dropped_chars"), F.bround(100 * dropped / F.lit(total), 4).alias("pct"))
+    """id, cleaned_text (header kept), corpus_chars (of the body), corpus_sha256: a row for each document."""
+    rest = marked(docs, id_col, text_col, rules).select("id", "head", kept_text(F.col("marks")).alias("kept"))
+    whole = rest.select("id", F.concat("head", "kept").alias("cleaned_text"), F.length("kept").cast("long").alias("corpus_chars"))
+    return whole.withColumn("corpus_sha256", sha256(F.col("cleaned_text")))
+
+
+def report(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """rule, place, dropped_chars and its share of all body characters, in per cent; every rule has a row."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = docs.select(F.length(body(text)).cast("long").alias("size"), _dropped(marks(body(text))).alias("dropped"))
+    chars = lambda k: F.coalesce(F.sum(F.get("dropped", F.lit(k))["dropped_chars"]), F.lit(0)).cast("long")
+    sums = found.agg(F.sum("size").alias("total"), *[chars(k).alias(name) for k, name in enumerate(RULES)])
+    rows = F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(k).alias("place"), F.col(name).alias("dropped_chars"), F.bround(100 * F.col(name) / F.col("total"), 4).alias("pct")) for k, name in enumerate(RULES)])
+    return sums.select(F.inline(rows))
 
 
 def stale(manifest: DataFrame, corpus: DataFrame, ruleset: str) -> DataFrame:

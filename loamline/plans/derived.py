@@ -73,7 +73,7 @@ def fixture_documents(spark: SparkSession) -> DataFrame:
 
 
 def line_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").alias("id"), "text")
     return docs.unionByName(fixture_documents(spark))
 
 

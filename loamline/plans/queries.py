@@ -64,18 +64,14 @@ def word_glue(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cleaning ------------------------------------------------------------------------------------
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.exploded(line_documents(spark, sf_dir), "id", "text")
-
-
 @query
 def clean_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.flagged(_lines(spark, sf_dir)).where("rule is not null").select("id", "i", "rule")
+    return lines.flagged(line_documents(spark, sf_dir)).where("rule is not null").select("id", "i", "rule")
 
 
 @query
 def clean_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.attribution(_lines(spark, sf_dir))
+    return lines.attribution(line_documents(spark, sf_dir))
 
 
 @query
@@ -85,12 +81,12 @@ def clean_text_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def clean_report_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.report(_lines(spark, sf_dir))
+    return lines.report(line_documents(spark, sf_dir))
 
 
 def _rule(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return lines.flagged(_lines(spark, sf_dir), [name]).where(F.col(f"is_{name}")).select("id", "i")
+        return lines.flagged(line_documents(spark, sf_dir), rules=[name]).where(F.col(f"is_{name}")).select("id", "i")
 
     run.__name__ = f"clean_{name}"
     return run

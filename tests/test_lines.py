@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -10,7 +11,7 @@ KEPT = ["and so on ... the next part", "Figure 3", "12 kW at 30 C", "0.5 1.25 0.
 
 def marked(spark, some, rules=None):
     df = spark.createDataFrame([(1, "\n".join(some))], "id int, text string")
-    return {r["i"]: r["rule"] for r in lines.flagged(lines.exploded(df, "id", "text"), rules).collect()}
+    return {r["i"]: r["rule"] for r in lines.flagged(df, rules=rules).collect()}
 
 
 def test_lines_of_content_stay(spark):
@@ -42,7 +43,7 @@ def test_random_documents_against_a_sequential_model(spark):
     rng = random.Random(4)
     docs = {i: [rng.choice(pool) for _ in range(rng.randint(1, 14))] for i in range(60)}
     df = spark.createDataFrame([(i, "\n".join(x)) for i, x in docs.items()], "id int, text string")
-    got = {r["id"]: r["kept_text"] for r in lines.rejoined(lines.flagged(lines.exploded(df, "id", "text"))).collect()}
+    got = {r["id"]: r["cleaned_text"] for r in lines.cleaned(df).collect()}
     for i, some in docs.items():
         assert got.get(i, "") == model(some), some
 
@@ -82,3 +83,33 @@ def test_header_is_kept_and_empty_documents_stay(spark):
     df = spark.createDataFrame([(1, "# t\n\n---\n\n7\nbody\n\n\nend"), (2, ""), (3, None), (4, "7")], "id int, text string")
     got = {r["id"]: r["cleaned_text"] for r in lines.cleaned(df).collect()}
     assert got == {1: "# t\n\n---\n\nbody\n\nend", 2: "", 3: "", 4: ""}
+
+
+def test_rows_that_share_an_id_are_cleaned_apart(spark):
+    texts = ["a line one\n7\n\n\nb line two", "c other one\n\n\nd other two", "a line one\n7\n\n\nb line two"]
+    df = spark.createDataFrame([(i, t) for t in texts for i in (1, None)], "id int, text string").repartition(3)
+    got = sorted(((r["id"] or 0), r["cleaned_text"], r["corpus_chars"]) for r in lines.cleaned(df).collect())
+    want = [("a line one\n\nb line two", 22), ("a line one\n\nb line two", 22), ("c other one\n\n\nd other two", 25)]
+    assert got == sorted((i, *w) for w in want for i in (0, 1))
+    assert sorted(r["dropped_chars"] for r in lines.attribution(df).collect()) == [2] * 4
+
+
+def test_cleaning_moves_no_row(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for out in (lines.cleaned(df, "doc_id"), lines.attribution(df, "doc_id"), lines.flagged(df, "doc_id")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        nodes = re.findall(r"^[ :+*(0-9)-]*([A-Z]\w+)", plan, re.MULTILINE)
+        assert "Project" in nodes and not [n for n in nodes if n.endswith(("Exchange", "Window", "Sort", "Join"))], nodes
+
+
+def test_many_lines(spark):
+    """A long document takes time in proportion: the model below is quadratic only in the lines that repeat."""
+    some = [f"line number {i} of a long document" for i in range(30_000)] + ["A line that comes back"] * 4 + ["extent={1,2}"] + ["{-10,10,-20},{1,2,3}"] * 5000 + ["", ""] * 3000
+    got = lines.cleaned(spark.createDataFrame([(1, "\n".join(some))], "id int, text string")).first()["cleaned_text"]
+    assert got == "\n".join([*some[:30_000], ""])
+
+
+@pytest.mark.parametrize("some", [[], [""], ["", ""], ["7", ""], ["", "7", ""], ["  ", "words"], ["A line that comes back"] * 3, ["A line that comes back "] * 3 + [" A line that comes back"], ["extent={1,2}", "", "{-10,10,-20},{1,2,3}"], ["US20150157190A1", " ", "", "EP1234567B1"]])
+def test_small_documents_against_the_model(spark, some):
+    df = spark.createDataFrame([(1, "\n".join(some))], "id int, text string")
+    assert lines.cleaned(df).first()["cleaned_text"] == model(some or [""])
