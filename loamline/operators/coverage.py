@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -116,8 +117,46 @@ PREFIX_GENRE = [
 BANDS = [(0, "none"), (16, "thin"), (61, "some")]
 
 
+def _alternatives(pattern: str) -> list[str]:
+    """A pattern cut at the bars outside of groups and classes."""
+    out, depth, escaped = [""], 0, False
+    for c in pattern:
+        if c == "|" and not depth and not escaped:
+            out.append("")
+            continue
+        depth += 0 if escaped else (c in "([") - (c in ")]")
+        escaped = c == "\\" and not escaped
+        out[-1] += c
+    return out
+
+
+def _always(alternative: str) -> str:
+    """The longest run of characters that stands in every match of one alternative; empty if none does."""
+    bare = re.sub(r"\\b", "\x00", alternative)
+    while "(" in bare:
+        bare = re.sub(r"\([^()]*\)[?*+]?", "\x00", bare)
+    bare = re.sub(r"\[[^\]]*\][?*+]?", "\x00", bare)
+    bare = re.sub(r"(?:\\.|.)[?*]|[.+]", "\x00", bare)
+    return max(re.split("[\x00\\\\]", bare), key=len)
+
+
 def matches(folded: Column, pattern: str) -> Column:
-    return folded.rlike("(?d)" + java(pattern))
+    """Whether a folded text matches a rule: a plain alternative is searched for as it is.
+
+    Any other is preceded by a search for what its every match holds, so that a text without that is
+    not read by the pattern.
+    """
+    plain, other = [], []
+    for some in _alternatives(pattern):
+        held = _always(some)
+        if held == some:
+            plain.append(some)
+        else:
+            test = folded.rlike("(?d)" + java(some))
+            other.append(folded.contains(held) & test if held else test)
+    if plain:
+        other.insert(0, F.exists(F.array(*map(F.lit, plain)), lambda x: folded.contains(x)))
+    return reduce(lambda x, y: x | y, other)
 
 
 def facet(rules: dict[str, str], folded: Column) -> Column:
@@ -132,10 +171,10 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
 
 def regions(ident: Column, source: Column, text: Column) -> Column:
     """Regions of a row, sorted; text is title and head together."""
-    folded = fold(F.substring(text, 1, 600))
     country = F.regexp_extract(ident, r"\Apat-([a-z]{2})", 1)
     patent = F.when(country != "", F.coalesce(_lookup(PATENT_REGION, country), F.lit("Global")))
-    found = F.array(_lookup(SOURCE_REGION, F.coalesce(source, F.lit(""))), patent, *[F.when(matches(folded, p), k) for k, p in TEXT_REGION.items()])
+    said = let(fold(F.substring(text, 1, 600)), lambda folded: F.array(*[F.when(matches(folded, p), k) for k, p in TEXT_REGION.items()]))
+    found = F.concat(F.array(_lookup(SOURCE_REGION, F.coalesce(source, F.lit(""))), patent), said)
     keys = F.array_sort(F.array_distinct(F.array_compact(found)))
     return let(keys, lambda k: F.when(F.size(k) > 0, k).otherwise(F.array(F.lit(UNMAPPED))))
 
@@ -143,7 +182,8 @@ def regions(ident: Column, source: Column, text: Column) -> Column:
 def language(text: Column) -> Column:
     """Script first; then votes, in which another language must clearly outvote English."""
     words = F.split(fold(F.substring(text, 1, 3000)), r"[^\p{L}\p{N}_]+")
-    return let(F.struct(text.alias("text"), words.alias("words")), lambda x: let(_votes(x["words"]), lambda votes: _language(x["text"], votes)))
+    voters = F.filter(words, _among(sorted({w for some in LANGUAGE_WORDS.values() for w in some})))  # most words are none
+    return let(F.struct(text.alias("text"), voters.alias("words")), lambda x: let(_votes(x["words"]), lambda votes: _language(x["text"], votes)))
 
 
 def _votes(words: Column) -> Column:
@@ -198,12 +238,24 @@ def _pair(name: str):
     return lambda key: F.struct(F.lit(name).alias("dimension"), key.alias("key"))
 
 
+def _crossed(rows: DataFrame, other: str, keys: list[str]) -> DataFrame:
+    """domain (null: all documents), n (its documents) and a column of document counts for each key."""
+    seen = classified(rows).select(F.explode(F.concat(F.array(F.lit(None).cast("string")), "dim_domain")).alias("domain"), F.col(f"dim_{other}").alias("others"))
+    return seen.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.array_contains("others", k)).alias(k) for k in keys])
+
+
 def cross_table(rows: DataFrame, other: str, keys: list[str]) -> DataFrame:
     """domain by another dimension: one column of document counts for each key; no placeholder row."""
-    seen = classified(rows).select(F.explode("dim_domain").alias("domain"), F.col(f"dim_{other}").alias("others"))
-    pairs = seen.select("domain", F.explode("others").alias("key")).where(F.col("domain") != NONE)
-    table = pairs.groupBy("domain").pivot("key", keys).agg(F.count(F.lit(1)))
-    return table.select("domain", *[F.coalesce(F.col(f"`{k}`"), F.lit(0)).cast("long").alias(k) for k in keys])
+    return _crossed(rows, other, keys).where(F.col("domain") != NONE).drop("n")
+
+
+def cross_cells(rows: DataFrame, other: str, keys: list[str]) -> DataFrame:
+    """The table's cells: domain, key, docs, gap (below 0.3 per cent of all documents, yet not empty)."""
+    table = _crossed(rows, other, keys)
+    # a window over as many rows as there are domains
+    table = table.withColumn("all", F.max(F.when(F.col("domain").isNull(), F.col("n"))).over(Window.partitionBy()))
+    cells = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"`{k}`").alias("docs"), ((F.col(f"`{k}`") > 0) & (F.col(f"`{k}`") < 0.003 * F.col("all"))).alias("gap")) for k in keys])
+    return table.where(F.col("domain") != NONE).select("domain", F.inline(cells))
 
 
 def genre(source: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loamline.session import checkpoint
+
 
 def final_titles(requested: DataFrame, normalized: DataFrame, redirects: DataFrame) -> DataFrame:
     """raw, final: each requested title after at most one normalisation and one redirect.
@@ -22,14 +24,12 @@ def reached(seeds: DataFrame, links: DataFrame, depth: int, budget: int | None =
 
     seeds: page. links: page, target. A budget keeps that many pages, by hops and then name.
     """
-    from loamline.operators.merge import _cut
-
-    seen = _cut(seeds.select("page", F.lit(0).alias("hops")).distinct())
+    seen = checkpoint(seeds.select("page", F.lit(0).alias("hops")).distinct())
     frontier = seen
     for hop in range(1, depth + 1):
         fresh = frontier.join(links, "page").select(F.col("target").alias("page")).distinct()
-        frontier = _cut(fresh.join(seen, "page", "left_anti").withColumn("hops", F.lit(hop)))
+        frontier = checkpoint(fresh.join(seen, "page", "left_anti").withColumn("hops", F.lit(hop)))
         if not frontier.limit(1).count():
             break
-        seen = _cut(seen.unionByName(frontier))
+        seen = checkpoint(seen.unionByName(frontier))
     return seen if budget is None else seen.orderBy("hops", "page").limit(budget)

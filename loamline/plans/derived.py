@@ -36,9 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     Large tables come in enough parts by themselves and are never shuffled for this.
     """
     rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
+    return dealt(rows) if spread else rows
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """A small table dealt out to all cores; a large one as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return rows.repartition(cores) if spread and size < SMALL * cores else rows
+    return rows.repartition(cores) if size < SMALL * cores else rows
 
 
 def manifest(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:

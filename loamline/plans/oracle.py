@@ -146,6 +146,11 @@ SQL |= {
     "backend_validation": "SELECT * FROM (VALUES ('b', 'missing rotation entry'), ('c', 'rotation entry exists but is switched off'), ('d', 'missing script'), ('e', 'rotation entry has no backend')) AS v(name, problem)",
 }
 
+#: CRC-32 of an ASCII id, bit by bit: DuckDB has no such function.
+_STEPS = "flatten(list_transform(range(1, length(id) + 1), lambda i: [CAST(ascii(substr(id, CAST(i AS INT), 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+_CRC = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {_STEPS}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+_SHARD = f"CASE WHEN starts_with(id, 'pat-cn') THEN 'patents-cn-' || CAST({_CRC} % 16 AS VARCHAR) WHEN starts_with(id, 'pat-us') THEN 'patents-us-' || CAST({_CRC} % 8 AS VARCHAR) ELSE {_ROUTE} END"
+
 _ENTRIES = f"""SELECT CASE WHEN pos % 41 = 9 THEN 'hand-' || CAST(pos % 3 AS VARCHAR) ELSE id END AS id, CASE WHEN pos % 41 = 1 THEN '' ELSE title END AS title,
   CASE WHEN pos % 41 = 2 THEN 'ftp://x.example.org/1' ELSE url END AS url, source, CASE WHEN pos % 41 = 3 THEN 'unknown' ELSE license END AS license,
   CASE WHEN pos % 41 = 4 THEN 'gardens' ELSE topic END AS topic, CASE WHEN pos % 41 = 5 THEN NULL ELSE format END AS format,
@@ -159,6 +164,7 @@ UNION ALL SELECT 'unknown topic', id, coalesce(topic, 'None') FROM e WHERE coale
 UNION ALL SELECT 'unknown format', id, coalesce(format, 'None') FROM e WHERE coalesce(format, '') NOT IN ({listed(FORMATS)})
 UNION ALL SELECT 'url is not http(s)', id, url FROM e WHERE NOT regexp_matches(url, '^https?://')
 UNION ALL SELECT 'license_url is not http(s)', id, license_url FROM e WHERE license_url <> '' AND NOT regexp_matches(license_url, '^https?://')
+UNION ALL SELECT 'wrong shard', id, 'books for ' || shard FROM (SELECT id, pos, {_SHARD} AS shard FROM e) WHERE pos % 41 = 7 AND shard <> 'books'
 UNION ALL SELECT 'duplicate id', id, CAST(count(*) AS VARCHAR) FROM e GROUP BY id HAVING count(*) > 1""",
     "lint_manifest": f"""WITH e AS (SELECT * FROM ({_ENTRIES}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY pos DESC) = 1),
 m AS (SELECT id, url, source, CASE WHEN pos % 29 = 0 THEN 'proprietary-internal' ELSE license END AS license, topic, format, CASE WHEN pos % 31 = 0 THEN 'zz' ELSE sha256 END AS sha256 FROM {M} AS x),
@@ -172,12 +178,6 @@ UNION ALL SELECT 'invalid hash', id, 'sha256' FROM j WHERE known IS NOT NULL AND
 # --- pruning -------------------------------------------------------------------------------------
 
 _OFF = f"(regexp_matches(title, {re2(TITLE_KILL_HARD)}) OR (regexp_matches(title, {re2(TITLE_KILL)}) AND NOT regexp_matches(title, {re2(TITLE_GUARD)})))"
-#: CRC-32 of an ASCII id, bit by bit: DuckDB has no such function.
-_STEPS = "flatten(list_transform(range(1, length(id) + 1), lambda i: [CAST(ascii(substr(id, CAST(i AS INT), 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
-_CRC = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {_STEPS}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
-_SHARD = f"CASE WHEN starts_with(id, 'pat-cn') THEN 'patents-cn-' || CAST({_CRC} % 16 AS VARCHAR) WHEN starts_with(id, 'pat-us') THEN 'patents-us-' || CAST({_CRC} % 8 AS VARCHAR) ELSE {_ROUTE} END"
-
-
 def _pruned(rows: str, verdict: str = "'ok'") -> str:
     """rows with reason, by the same precedence."""
     return f"""SELECT *, CASE WHEN own IS NOT NULL THEN own WHEN dup_title THEN 'dup-title' WHEN eligible AND found AND place > 1 THEN 'dup-bytes' END AS reason
@@ -220,7 +220,7 @@ _PATENT_MAP = "CASE WHEN regexp_matches(id, '^pat-[a-z]{2}') THEN CASE substr(id
 _REGION_FOUND = f"list_distinct(list_filter([{_SOURCE_MAP}, {_PATENT_MAP}, {', '.join(f'CASE WHEN regexp_matches(left(t, 600), {re2(p)}) THEN {q(k)} END' for k, p in c.TEXT_REGION.items())}], lambda x: x IS NOT NULL))"
 _REGION = f"CASE WHEN len({_REGION_FOUND}) > 0 THEN {_REGION_FOUND} ELSE ['(unmapped)'] END"
 _FACETS = f"SELECT id, tok, {', '.join(f'{_facet(t)} AS {n}' for n, t in c.FACETS.items())}, {_REGION} AS region, [license] AS license FROM ({_SEEDED})"
-_DIMENSIONS = [*c.FACETS, "region", "license"]
+_DIMENSIONS = [*c.FACETS, "region", "license", "language"]
 
 
 def _cross(other: str, keys: list[str]) -> str:
@@ -232,12 +232,16 @@ def _votes(language: str) -> str:
     return f"len(list_filter(w, lambda x: x IN ({listed(c.LANGUAGE_WORDS[language])})))"
 
 
-_LANGUAGE = f"""SELECT doc_id, lang, CASE WHEN regexp_matches(text, '[가-힯]') THEN 'ko' WHEN regexp_matches(text, '[぀-ヿ]') THEN 'ja'
+def _language(keep: str, rows: str) -> str:
+    return f"""SELECT {keep}, CASE WHEN regexp_matches(text, '[가-힯]') THEN 'ko' WHEN regexp_matches(text, '[぀-ヿ]') THEN 'ja'
   WHEN length(regexp_replace(left(text, 2000), '[^一-鿿]+', '', 'g')) > 20 THEN 'zh' WHEN length(regexp_replace(left(text, 2000), '[^а-яА-Я]+', '', 'g')) > 20 THEN 'ru'
   WHEN best > en * 1.2 AND first <> 'en' THEN first ELSE 'en' END AS detected
 FROM (SELECT *, CASE {' '.join(f'WHEN {k} = best THEN {q(k)}' for k in c.LANGUAGE_WORDS)} END AS first
-FROM (SELECT *, greatest({', '.join(c.LANGUAGE_WORDS)}) AS best FROM (SELECT doc_id, lang, text, {', '.join(f'{_votes(k)} AS {k}' for k in c.LANGUAGE_WORDS)}
-FROM (SELECT *, regexp_split_to_array(lower(left(text, 3000)), '[^\\p{{L}}\\p{{N}}_]+') AS w FROM documents))))"""
+FROM (SELECT *, greatest({', '.join(c.LANGUAGE_WORDS)}) AS best FROM (SELECT {keep}, text, {', '.join(f'{_votes(k)} AS {k}' for k in c.LANGUAGE_WORDS)}
+FROM (SELECT *, regexp_split_to_array(lower(left(text, 3000)), '[^\\p{{L}}\\p{{N}}_]+') AS w FROM {rows}))))"""
+
+
+_LANGUAGE = _language("doc_id, lang", "documents")
 _GENRE = "CASE source " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in c.SOURCE_GENRE.items()) + " ELSE CASE " + " ".join(f"WHEN {' OR '.join(f'starts_with(source, {q(p)})' for p in prefixes)} THEN {q(g)}" for prefixes, g in c.PREFIX_GENRE) + " END END"
 
 SQL |= {
@@ -253,10 +257,13 @@ UNION ALL SELECT 'topic:' || topic, count(*) FROM m WHERE status = 'ok' GROUP BY
 e AS (SELECT genre, listed, coalesce(docs, 0) AS docs FROM (VALUES {', '.join(f'({q(g)}, {i})' for i, g in enumerate(c.GENRES))}) AS v(genre, listed) LEFT JOIN g USING (genre))
 SELECT genre, docs, CASE WHEN docs = 0 THEN 'none' WHEN docs < 16 THEN 'thin' WHEN docs < 61 THEN 'some' ELSE 'heavy' END AS status, CAST(row_number() OVER (ORDER BY docs >= 16, docs >= 61, docs, listed) AS INTEGER) AS place FROM e""",
     "uncategorized_sources": f"SELECT source, count(*) AS docs FROM ({_SOURCED}) WHERE {_GENRE} IS NULL GROUP BY source",
-    "facet_marginals": f"""WITH f AS ({_FACETS}), n AS (SELECT count(*) AS n FROM f), cells AS ({' UNION ALL '.join(f"SELECT {q(d)} AS dimension, unnest({d}) AS key, tok FROM f" for d in _DIMENSIONS)})
+    "facet_marginals": f"""WITH l AS (SELECT id, detected FROM ({_language("id", f"(SELECT id, t AS text FROM ({_SEEDED}))")})), f AS (SELECT f.*, [detected] AS language FROM ({_FACETS}) AS f JOIN l USING (id)), n AS (SELECT count(*) AS n FROM f), cells AS ({' UNION ALL '.join(f"SELECT {q(d)} AS dimension, unnest({d}) AS key, tok FROM f" for d in _DIMENSIONS)})
 SELECT dimension, key, count(*) AS docs, CAST(sum(tok) AS BIGINT) AS tok, count(*) < 0.01 * any_value(n) AND key <> '(none)' AS gap FROM cells, n GROUP BY dimension, key""",
     "cross_domain_lifecycle": _cross("lifecycle", list(c.LIFECYCLE)),
     "cross_domain_region": _cross("region", c.REGION_COLUMNS),
+    "cross_cells_lifecycle": f"""WITH f AS ({_FACETS}), n AS (SELECT count(*) AS n FROM f), d AS (SELECT unnest(domain) AS domain, lifecycle FROM f)
+SELECT domain, key, count(*) FILTER (list_contains(lifecycle, key)) AS docs, count(*) FILTER (list_contains(lifecycle, key)) BETWEEN 1 AND ceil(0.003 * any_value(n)) - 1 AS gap
+FROM d, n, (SELECT unnest([{listed(c.LIFECYCLE)}]) AS key) WHERE domain <> '(none)' GROUP BY domain, key""",
     "detect_lang": f"SELECT doc_id, detected FROM ({_LANGUAGE})",
     "lang_confusion": f"SELECT lang, detected, count(*) AS n FROM ({_LANGUAGE}) GROUP BY lang, detected",
 }

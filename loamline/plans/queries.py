@@ -12,7 +12,7 @@ from loamline.functions.text import big_number, blocklist_key, body, entry_id, e
 from loamline.operators import coverage, fetch, html, lines, merge, prune, quality, registry, report, resolve
 from loamline.operators.discovery import license_of_id, permissive_or_open, topic
 from loamline.plans import answers, oracle
-from loamline.plans.derived import fixture_documents, line_documents, manifest, table
+from loamline.plans.derived import dealt, fixture_documents, line_documents, manifest, table
 from loamline.session import remove_folder, shared_folder
 from loamline.streaming import rounds
 
@@ -231,7 +231,7 @@ def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lint_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return registry.lint_entries(_entries(spark, sf_dir)).where("check <> 'wrong shard'")
+    return registry.lint_entries(_entries(spark, sf_dir))
 
 
 @query
@@ -291,7 +291,7 @@ _SOURCES = ["osti", "gh_a", "wikipedia_de", "oapen", "gov_uk", "gov_x", "kitopen
 
 def _sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(s) for s in _SOURCES])
-    return manifest(spark, sf_dir, spread=True).withColumn("source", F.get(names, (F.col("pos") * F.col("pos") % len(_SOURCES)).cast("int")))
+    return manifest(spark, sf_dir).withColumn("source", F.get(names, (F.col("pos") * F.col("pos") % len(_SOURCES)).cast("int")))
 
 
 @query
@@ -305,15 +305,21 @@ def uncategorized_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ok rows of the manifest with subject words put before the text."""
+    """Ok rows of the manifest with subject words put before the text, of which coverage reads the head."""
     words = F.array(*[F.lit(s) for s in oracle.SUBJECTS])
     rows = _sourced(spark, sf_dir).where("status = 'ok'")
+    rows = dealt(rows.select("id", "title", "source", "license", "text_chars", F.substring("body", 1, coverage.HEAD_CHARS + 400).alias("body"), "pos"))
     return rows.withColumn("body", F.concat(F.get(words, (F.col("pos") % len(oracle.SUBJECTS)).cast("int")), F.lit("\n"), "body"))
 
 
 @query
 def facet_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage.marginals(_seeded(spark, sf_dir)).where("dimension <> 'language'")
+    return coverage.marginals(_seeded(spark, sf_dir))
+
+
+@query
+def cross_cells_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.cross_cells(_seeded(spark, sf_dir), "lifecycle", list(coverage.LIFECYCLE))
 
 
 @query
