@@ -165,3 +165,71 @@ class PositiveCache:
 
     def save(self) -> None:
         replace_atomically(self.path, (json.dumps(self.known, sort_keys=True) + "\n").encode())
+
+
+class Transient(Exception):
+    """A failure that may pass: a timeout, or an answer of the 500s."""
+
+
+def retried(ask: Callable[[], object], waits: tuple[float, ...] = (2.0, 4.0, 8.0), sleep: Callable[[float], None] = time.sleep) -> object:
+    """Asks again after each wait while the failure is one that may pass; the last such failure is raised."""
+    for wait in waits:
+        try:
+            return ask()
+        except (Transient, TimeoutError):
+            sleep(wait)
+    return ask()
+
+
+def grow(
+    run_round: Callable[[], None],
+    *,
+    seconds: float,
+    target_tokens: int = 0,
+    tokens: Callable[[], int] = lambda: 0,
+    stop_file: Path | None = None,
+    least_free: int = 30 << 30,
+    free: Callable[[], int] | None = None,
+    window: Callable[[], bool] = lambda: True,
+    release: Callable[[], None] = lambda: None,
+    maintenance_requested: Callable[[], bool] = lambda: False,
+    blocked: Callable[[], str | None] = lambda: None,
+    pause: float = 90.0,
+    now: Callable[[], float] = time.monotonic,
+    sleep: Callable[[float], None] = time.sleep,
+) -> tuple[int, int, str]:
+    """Runs rounds until one of the exits: (rounds, failures, why it ended).
+
+    Exits: the time is up; the corpus holds the target (0: no target), looked at before each round and
+    after each that succeeds; the stop file is there (it is removed); less disk is free than least_free;
+    the window between rounds can't be had (a failure); maintenance blocks growth. A round that raises
+    is a failure and the next one is tried; requested maintenance has the loop wait its turn.
+    """
+    free = free or (lambda: shutil.disk_usage(stop_file.parent if stop_file else ".").free)
+    end, rounds, failures = now() + seconds, 0, 0
+    while now() < end:
+        if target_tokens and tokens() >= target_tokens:
+            return rounds, failures, "target reached"
+        if stop_file is not None and stop_file.exists():
+            stop_file.unlink()
+            return rounds, failures, "stop file"
+        if free() < least_free:
+            return rounds, failures, "low disk"
+        if not window():
+            return rounds, failures + 1, "no window"
+        try:
+            if not maintenance_requested():
+                if reason := blocked():
+                    return rounds, failures, f"blocked: {reason}"
+                rounds += 1
+                try:
+                    run_round()
+                except Exception:
+                    failures += 1
+                else:
+                    if target_tokens and tokens() >= target_tokens:
+                        return rounds, failures, "target reached"
+        finally:
+            release()
+        sleep(pause)
+    return rounds, failures, "time is up"

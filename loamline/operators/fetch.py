@@ -116,6 +116,38 @@ def extract_once(fetched: DataFrame, extract) -> DataFrame:
     return fetched.join(texts, "sha256", "left")
 
 
+def by_format(fetched: DataFrame, pdf_columns: tuple[str, str] | None = None) -> DataFrame:
+    """The frame with text: what its format's extractor makes of payload; other formats give the empty text.
+
+    fetched: format, payload (bytes). A PDF's text is chosen from two extractions that are columns (a
+    parser of PDFs is not part of this engine); without them it is empty.
+    """
+    from loamline.operators import html
+
+    kind = F.lower(F.coalesce("format", F.lit("")))
+    page = F.when(kind == "html", F.replace(F.make_valid_utf8(F.col("payload").cast("string")), F.lit("�"), F.lit("")))
+    pdf = arbitrated(F.coalesce(pdf_columns[0], F.lit("")), F.coalesce(pdf_columns[1], F.lit(""))) if pdf_columns else F.lit("")
+    names = [c for c in fetched.columns if c != "text"]
+    read = html.extracted(fetched.select(*names, page.alias("_page")), "_page")
+    text = F.when(kind == "html", F.col("text")).when(kind.isin("md", "rst", "txt"), plain_text(F.col("payload"))).when(kind == "pdf", pdf)
+    return read.select(*names, F.coalesce(text, F.lit("")).alias("text"))
+
+
+def extracted_again(manifest: DataFrame, raw: DataFrame, pdf_columns: tuple[str, str] | None = None) -> DataFrame:
+    """id, rendered, text_sha256, text_chars, changed: ok rows' texts made anew from the bytes that are there.
+
+    manifest: id, title, url, license, topic, format, status, text_sha256. raw: id, payload (and the PDF
+    columns). Equal bytes of a format are read once. A row without bytes, or whose text comes out empty,
+    is left out. Rows go by id.
+    """
+    rows = manifest.where("status = 'ok'").select("id", "title", "url", "license", "topic", "format", F.col("text_sha256").alias("_before")).join(raw, "id")
+    rows = rows.withColumn("sha256", F.sha2(F.concat(F.coalesce("format", F.lit("")).cast("binary"), F.lit("\n").cast("binary"), "payload"), 256))
+    texts = extract_once(rows, lambda some: by_format(some, pdf_columns)).where("text <> ''")
+    rendered = F.concat(render_header(F.col("title"), F.col("url"), F.col("license"), F.col("topic")), F.col("text"))
+    out = texts.select("id", rendered.alias("rendered"), sha256(rendered).alias("text_sha256"), F.length("text").cast("long").alias("text_chars"), "_before")
+    return out.select("id", "rendered", "text_sha256", "text_chars", (~F.col("text_sha256").eqNullSafe(F.col("_before"))).alias("changed")).orderBy("id")
+
+
 def plain_text(payload: Column) -> Column:
     """UTF-8 text of bytes, malformed sequences left out, stripped."""
     return strip(F.replace(F.make_valid_utf8(payload.cast("string")), F.lit("�"), F.lit("")))

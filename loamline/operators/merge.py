@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,56 +22,98 @@ def incomplete(proposals: DataFrame) -> DataFrame:
     return proposals.where(lacking)
 
 
-def first_kept(proposals: DataFrame, order: list[str]) -> DataFrame:
+#: Undecided rows up to which one task finishes a pass; it holds their places and keys only.
+ONE_TASK = 200_000
+
+
+def first_kept(proposals: DataFrame, order: list[str], one_task: int = ONE_TASK) -> DataFrame:
     """What a pass in order keeps that skips rows whose url or title a kept row already has.
 
     A rejected row blocks nobody, so ranks by url and by title would drop too much. Each round keeps
     the undecided rows that come first for both their keys and drops those that share a key with a
-    kept one; rounds end when no row is undecided. order must tell rows apart.
+    kept one; when few enough are undecided, one task goes through them in order. Rounds carry the
+    order and the keys, not the rows. order must tell rows apart.
     """
-    place = F.struct(*order)
-    left = checkpoint(proposals.withColumns({"_place": place, "_url": url_key(F.col("url")), "_title": norm(F.col("title"))}))
-    kept: DataFrame | None = None
-    while left.limit(1).count():
-        firsts = left.withColumns({"_fu": F.min("_place").over(Window.partitionBy("_url")), "_ft": F.min("_place").over(Window.partitionBy("_title"))})
-        marked = checkpoint(firsts.withColumn("_take", (F.col("_place") == F.col("_fu")) & (F.col("_place") == F.col("_ft"))).drop("_fu", "_ft"))
-        taken = marked.where("_take").drop("_take")
-        kept = taken if kept is None else kept.unionByName(taken)
-        rest = marked.where("not _take").drop("_take")
-        rest = rest.join(taken.select("_url").distinct(), "_url", "left_anti").join(taken.select("_title").distinct(), "_title", "left_anti")
-        left = checkpoint(rest.select(marked.drop("_take").columns))
-    return (left if kept is None else kept).drop("_place", "_url", "_title")
+    left = checkpoint(proposals.select(F.struct(*order).alias("place"), url_key(F.col("url")).alias("u"), norm(F.col("title")).alias("t")))
+    kept = left.limit(0)
+    while left.count() > one_task:
+        by_url, by_title = (left.groupBy(k).agg(F.min("place").alias(f"first_{k}")) for k in ("u", "t"))
+        taken = checkpoint(left.join(by_url, "u").join(by_title, "t").where((F.col("place") == F.col("first_u")) & (F.col("place") == F.col("first_t"))).select(left.columns))
+        left = checkpoint(left.join(taken.select("u").distinct(), "u", "left_anti").join(taken.select("t").distinct(), "t", "left_anti").select(left.columns))
+        kept = kept.unionByName(taken)
+
+    def passed(batches):
+        urls, titles = set(), set()
+        for batch in batches:
+            take = []
+            for url, title in zip(batch.column("u").to_pylist(), batch.column("t").to_pylist(), strict=True):
+                take.append(url not in urls and title not in titles)
+                if take[-1]:
+                    urls.add(url)
+                    titles.add(title)
+            yield batch.filter(pa.array(take, pa.bool_()))
+
+    last = left.orderBy("place").coalesce(1).mapInArrow(passed, left.schema)
+    places = checkpoint(kept.unionByName(last).select("place")).select(*[F.col(f"place.{c}").alias(f"_{c}") for c in order])
+    same = [proposals[c].eqNullSafe(places[f"_{c}"]) for c in order]
+    return proposals.join(places, reduce(lambda x, y: x & y, same), "left_semi")
 
 
 FAMILY = "(-[0-9]*)+$"
+_NUMBERED = "-[0-9]+$"
+
+
+def _colliding(ids: DataFrame, reserved: DataFrame) -> DataFrame:
+    """id: those that are taken already or twice among the rows, and those that a new name could run into.
+
+    A taken id b becomes b's first 50 characters and a number; an id of that form may so be taken,
+    too, and then leads on to others. Few ids do, whatever their number is.
+    """
+    once = ids.groupBy("id").agg(F.count("*").alias("n"))
+    fresh = checkpoint(once.where("n > 1").select("id").union(once.select("id").join(reserved.select("id"), "id", "left_semi")).distinct())
+    found = fresh
+    while not fresh.isEmpty():
+        stems = fresh.select(F.substring("id", 1, 50).alias("stem")).distinct()
+        ahead = once.select("id").where(F.col("id").rlike(_NUMBERED)).withColumn("stem", F.regexp_replace("id", _NUMBERED, ""))
+        fresh = checkpoint(ahead.join(stems, "stem", "left_semi").select("id").join(found, "id", "left_anti"))
+        found = found.union(fresh)
+    return found
 
 
 def unique_ids(rows: DataFrame, reserved: DataFrame, order: list[str]) -> DataFrame:
     """The rows with ids that neither reserved (column id) nor an earlier row has.
 
-    A taken id becomes its first 50 characters and -2, -3, ... Ids that can meet this way agree in
-    their first 50 characters without trailing numbers, so each such family is settled apart.
+    A taken id becomes its first 50 characters and -2, -3, ... Only ids that collide, or that a new
+    name could run into, are settled, by families: ids that can meet agree in their first 50 characters
+    without trailing numbers.
     """
     family = F.regexp_replace(F.substring("id", 1, 50), FAMILY, "").alias("_family")
     names = rows.columns
-    own = rows.select(family, F.struct(*order).alias("_at"), F.col("id").alias("_id"), F.struct(*names).alias("_row"))
+    colliding = _colliding(rows.select("id"), reserved)
+    theirs = rows.join(colliding, "id", "left_semi")
+    own = theirs.select(family, F.struct(*order).alias("_at"), F.col("id").alias("_id"), F.struct(*names).alias("_row"))
     ranked = own.withColumn("_n", F.row_number().over(Window.partitionBy("_family").orderBy("_at")))
-    ids = ranked.select("_family", F.col("_n").cast("long"), "_id").unionByName(reserved.select(family, F.lit(0).cast("long").alias("_n"), F.col("id").alias("_id")).distinct())
+    held = reserved.select(family, F.lit(0).cast("long").alias("_n"), F.col("id").alias("_id")).distinct()
+    ids = ranked.select("_family", F.col("_n").cast("long"), "_id").unionByName(held.join(colliding.select(family).distinct(), "_family", "left_semi").select("_family", "_n", "_id"))
 
     def settle(group: pd.DataFrame) -> pd.DataFrame:
         taken = set(group.loc[group["_n"] == 0, "_id"])
+        last: dict[str, int] = {}
         out = []
         for row in group[group["_n"] > 0].sort_values("_n").itertuples(index=False):
-            ident, i = row[2], 2
+            ident, stem = row[2], row[2][:50]
+            i = last.get(stem, 2)
             while ident in taken:
-                ident, i = f"{row[2][:50]}-{i}", i + 1
+                ident, i = f"{stem}-{i}", i + 1
+            if ident != row[2]:
+                last[stem] = i
             taken.add(ident)
             out.append((row[0], row[1], ident))
         return pd.DataFrame(out, columns=["_family", "_n", "_new"])
 
     settled = ids.groupBy("_family").applyInPandas(settle, "_family string, _n long, _new string")
-    joined = ranked.join(settled, ["_family", "_n"])
-    return joined.select(*[(F.col("_new") if n == "id" else F.col(f"_row.{n}")).alias(n) for n in names])
+    joined = ranked.join(settled, ["_family", "_n"]).select(*[(F.col("_new") if n == "id" else F.col(f"_row.{n}")).alias(n) for n in names])
+    return rows.join(colliding, "id", "left_anti").select(*names).unionByName(joined)
 
 
 def merge_proposals(proposals: DataFrame, known: DataFrame, reserved: DataFrame) -> DataFrame:
@@ -80,8 +125,8 @@ def merge_proposals(proposals: DataFrame, known: DataFrame, reserved: DataFrame)
     bad = incomplete(proposals).select("backend", "id").limit(5).collect()
     if bad:
         raise ValueError("proposals lack required fields: " + ", ".join(f"{r['backend']}: {r['id']}" for r in bad))
-    kept = first_kept(new_candidates(proposals, known), ["index", "pos"])
-    return unique_ids(kept, reserved, ["index", "pos"])
+    fresh = checkpoint(new_candidates(proposals, known))  # each step below reads it again
+    return unique_ids(checkpoint(first_kept(fresh, ["index", "pos"])), reserved, ["index", "pos"])
 
 
 def accepted_counts(accepted: DataFrame, backends: DataFrame) -> DataFrame:
@@ -100,4 +145,4 @@ def capped(candidates: DataFrame, most: int, order: list[str], by: list[str] | N
 
 def sampled(rows: DataFrame, most: int, ident: str, by: list[str] | None = None) -> DataFrame:
     """A uniform subset of fixed seed, in all or of each group: the smallest hashes of the id."""
-    return capped(rows.withColumn("_h", F.xxhash64(F.col(ident), F.lit("sample"))), most, ["_h", ident], by).drop("_h")
+    return capped(rows.withColumn("_h", F.md5(F.concat(F.col(ident).cast("string"), F.lit("sample")))), most, ["_h", ident], by).drop("_h")

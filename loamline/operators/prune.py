@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loamline.functions.text import blocklist_key, norm
 from loamline.operators.quality import is_booklike, metrics, off_domain_title, verdict, whole
 from loamline.operators.registry import discovered, shard_file
+from loamline.session import checkpoint
 
 # Answers after which an address may be tried again.
 TRANSIENT_STATUS = [202, 429, 503]
@@ -38,10 +39,11 @@ def reviewed(ids: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def reasons(manifest: DataFrame, reviewed_ids: DataFrame | None = None) -> DataFrame:
-    """The manifest with reason: null for rows that stay, else why the row goes; first reason wins.
+    """The manifest, without its texts, with reason: null for rows that stay, else why the row goes; first reason wins.
 
     Titles are claimed in manifest order (shard file, topic, id) by rows that pass everything else;
-    equal bytes keep the first row, curated before discovered, then by id.
+    equal bytes keep the first row, curated before discovered, then by id. Firsts are minima by key,
+    combined before they meet; rows that compete for nothing are not gathered. Ids are unique.
     """
     rows = measured(manifest)
     found = discovered(F.col("id"))
@@ -57,18 +59,26 @@ def reasons(manifest: DataFrame, reviewed_ids: DataFrame | None = None) -> DataF
         .when(F.col("body").isNull(), "no-text")
         .when(F.col("verdict") != "ok", F.col("verdict"))
     )
-    rows = rows.withColumns({"own": own, "found": found, "title_key": norm(F.col("title"))})
+    names = [c for c in rows.columns if c not in ("body", "reviewed")]
+    # texts are measured once; what follows carries no text
+    rows = checkpoint(rows.select(*names, own.alias("own"), found.alias("found"), norm(F.col("title")).alias("title_key")))
     claims = F.col("found") & F.col("own").isNull() & (F.col("title_key") != "")
-    seeds = F.col("title_key").isNotNull() & ~F.col("found") & (F.col("status") == "ok")
-    by_title = Window.partitionBy("title_key", claims)
-    rank = F.row_number().over(by_title.orderBy(shard_file(F.col("id")), "topic", "id"))
-    seeded = F.max(seeds).over(Window.partitionBy("title_key"))
-    rows = rows.withColumn("dup_title", claims & ((rank > 1) | F.coalesce(seeded, F.lit(False))))
-    left = (F.col("status") == "ok") & F.col("sha256").isNotNull() & F.col("own").isNull() & ~F.col("dup_title")
-    place = F.row_number().over(Window.partitionBy("sha256", left).orderBy("found", "id"))
-    rows = rows.withColumn("dup_bytes", left & F.col("found") & (place > 1))
-    reason = F.coalesce("own", F.when(F.col("dup_title"), "dup-title"), F.when(F.col("dup_bytes"), "dup-bytes"))
-    return rows.withColumn("reason", reason).drop("own", "found", "title_key", "dup_title", "dup_bytes", "reviewed")
+    seeds = F.coalesce(F.col("title_key").isNotNull() & ~F.col("found") & (F.col("status") == "ok"), F.lit(False))
+    turn = F.struct(shard_file(F.col("id")), F.coalesce("topic", F.lit("")), F.col("id"))
+    firsts = rows.where(claims | seeds).groupBy(F.col("title_key").alias("_key")).agg(F.min(F.when(claims, turn)).alias("_first"), F.max(seeds).alias("_seeded"))
+    rows = rows.withColumn("_key", _key_or_own(claims, "title_key")).join(firsts, "_key", "left")
+    rows = rows.withColumn("dup_title", claims & (F.coalesce("_seeded", F.lit(False)) | (turn != F.col("_first")))).drop("_key", "_first", "_seeded")
+    left = F.coalesce((F.col("status") == "ok") & F.col("sha256").isNotNull() & F.col("own").isNull() & ~F.col("dup_title"), F.lit(False))
+    keeper = rows.where(left).groupBy(F.col("sha256").alias("_key")).agg(F.min(F.struct("found", "id")).alias("_first"))
+    rows = rows.withColumn("_key", _key_or_own(left, "sha256")).join(keeper, "_key", "left")
+    dup_bytes = left & F.col("found") & (F.struct("found", "id") != F.col("_first"))
+    reason = F.coalesce("own", F.when(F.col("dup_title"), "dup-title"), F.when(dup_bytes, "dup-bytes"))
+    return rows.select(*names, reason.alias("reason"))
+
+
+def _key_or_own(has: Column, key: str) -> Column:
+    """A row's join key, or for a row without one something of its own, so that such rows don't meet in one task."""
+    return F.when(has, F.col(key)).otherwise(F.concat(F.lit("\u0000"), F.coalesce("id", F.lit(""))))
 
 
 def same_bytes_kept(judged: DataFrame) -> DataFrame:

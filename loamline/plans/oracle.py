@@ -251,7 +251,7 @@ FROM (SELECT *, CASE WHEN pos % 5 = 0 THEN 0 ELSE text_chars - pos % 7 END AS cc
     "by_license": f"SELECT license, docs, CAST(list_position([{listed(LICENSE_ORDER)}], license) AS INTEGER) AS place FROM (SELECT license, count(*) AS docs FROM {M} AS x WHERE status = 'ok' GROUP BY license) WHERE list_position([{listed(LICENSE_ORDER)}], license) > 0",
     "load_report": f"""WITH m AS (SELECT * FROM {M} AS x) SELECT 'rows' AS metric, count(*) AS value FROM m UNION ALL SELECT 'ok', count(*) FROM m WHERE status = 'ok' UNION ALL SELECT 'failed', count(*) FROM m WHERE status <> 'ok'
 UNION ALL SELECT 'topic:' || topic, count(*) FROM m WHERE status = 'ok' GROUP BY topic""",
-    "duplicate_groups": f"SELECT sha256, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM {M} AS x GROUP BY sha256 HAVING count(*) > 1",
+    "duplicate_groups": f"SELECT sha256, n, id FROM (SELECT sha256, id, count(*) OVER (PARTITION BY sha256) AS n FROM {M} AS x) WHERE n > 1",
     "big_numbers": "SELECT c_custkey, CASE WHEN n >= 1e9 THEN printf('%.3fB', n / 1e9) ELSE printf('%.0fM', round_even(n / 1e6, 0)) END AS shown FROM (SELECT c_custkey, CAST(c_custkey * 1234567 AS DOUBLE) AS n FROM customer)",
     "genre_coverage": f"""WITH g AS (SELECT {_GENRE} AS genre, count(*) AS docs FROM ({_SOURCED}) GROUP BY 1),
 e AS (SELECT genre, listed, coalesce(docs, 0) AS docs FROM (VALUES {', '.join(f'({q(g)}, {i})' for i, g in enumerate(c.GENRES))}) AS v(genre, listed) LEFT JOIN g USING (genre))
@@ -312,6 +312,7 @@ FROM (SELECT ident, lower(ident) AS l FROM (VALUES {', '.join(f'({q(i)})' for i
     "title_resolution": f"SELECT id AS raw, CASE WHEN pos % 2 = 0 THEN 'r-' || id WHEN pos % 3 = 0 THEN 'n-' || id ELSE id END AS final FROM {M} AS m",
     "links_reached": """WITH l AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS p, 's' || CAST(l_suppkey AS VARCHAR) AS s FROM lineitem),
 one AS (SELECT s FROM l WHERE p = '1') SELECT '1' AS page, 0 AS hops WHERE true UNION ALL SELECT s, 1 FROM one UNION ALL SELECT DISTINCT p, 2 FROM l WHERE s IN (SELECT s FROM one) AND p <> '1'""",
+    "shard_sample": f"SELECT shard, id FROM (SELECT id, {_SHARD} AS shard FROM {M} AS m) QUALIFY row_number() OVER (PARTITION BY shard ORDER BY md5(id || 'sample'), id) <= 2",
     "finder_caps": f"SELECT id, source FROM {M} AS m QUALIFY row_number() OVER (PARTITION BY source ORDER BY title, id) <= 3",
     "circuit_breaker": """WITH e AS (SELECT event_id, user_id, abs((event_id * 7 + user_id) % 5) < 3 AS hit FROM events),
 c AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS calm FROM e),

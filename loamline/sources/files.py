@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loamline.functions.text import blocklist_key
 from loamline.operators.registry import CURATED, FIELDS, shard, shard_file
+from loamline.session import checkpoint, remove_folder
 
 _WINDOW = "struct<chars:bigint,alpha:double,words:bigint,cjk:bigint,en:bigint,domain:bigint>"
 MANIFEST_SCHEMA = (
@@ -50,16 +52,34 @@ def entry_yaml(entries: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of all shards; lines that are blank or no JSON objects are left out."""
-    rows = spark.read.schema(MANIFEST_SCHEMA).option("mode", "DROPMALFORMED").json(f"{folder}/*.jsonl")
-    return rows.where("id is not null")
-
-
-def write_manifest(rows: DataFrame, folder: str) -> None:
-    """Partitions by shard, rows sorted by topic and id; only shards among the rows are replaced."""
-    sharded = rows.withColumn("shard", shard(F.col("id")))
-    writer = sharded.repartition("shard").sortWithinPartitions("shard", "topic", "id").write
-    writer.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").json(folder)
+    """Rows of all shards, as files of the folder or of folders by shard. Blank lines are left out.
+
+    A line that is no JSON object of the schema, or has no id, is an error.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*").text(folder).where(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", MANIFEST_SCHEMA, {"mode": "FAILFAST"}).alias("row")).select("row.*")
+    return rows.withColumn("id", F.coalesce("id", F.raise_error(F.lit("a manifest row without id")).cast("string")))
+
+
+def write_manifest(rows: DataFrame, folder: str) -> DataFrame:
+    """Makes a folder hold these rows by shard, sorted by topic and id; returns shard, change.
+
+    Shards whose rows are the same stay untouched, those that have no row left are removed.
+    """
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    typed = rows.select(*[(F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in T.StructType.fromDDL(MANIFEST_SCHEMA)])
+    changes = checkpoint(changed_shards(read_manifest(spark, folder) if there else typed.limit(0), typed))
+    named = {r["change"]: r["shards"] for r in changes.groupBy("change").agg(F.collect_list("shard").alias("shards")).collect()}  # a few dozen shards
+    fresh = [*named.get("new", []), *named.get("changed", [])]
+    if fresh:
+        sharded = checkpoint(typed.withColumn("shard", shard(F.col("id"))).where(F.concat("shard", F.lit(".jsonl")).isin(fresh)))
+        writer = sharded.repartition("shard").sortWithinPartitions("shard", "topic", "id").write
+        writer.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").json(folder)
+    for name in named.get("gone", []):
+        remove_folder(spark, f"{folder}/shard={name.removesuffix('.jsonl')}")
+    return changes
 
 
 def changed_shards(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -113,16 +133,59 @@ def folder_usage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def signature(spark: SparkSession, *folders: str) -> str:
-    """Fingerprint of the files' paths, sizes and times: what an index was made from."""
+    """Fingerprint of the files' paths, sizes and times: what an index was made from.
+
+    Sums of two hashes of each file stand for the set of files, so no list of them is made.
+    """
     files = None
     for folder in folders:
         some = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length", "modificationTime")
         files = some if files is None else files.unionByName(some)
     line = F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
-    return files.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256)).first()[0]
+    hashed = lambda seed: F.sum(F.xxhash64(line, F.lit(seed)).cast("decimal(20,0)")).cast("string")
+    row = files.agg(F.count("*").cast("string").alias("n"), hashed("a").alias("a"), hashed("b").alias("b")).select(F.sha2(F.concat_ws("|", "n", "a", "b"), 256))
+    return row.first()[0]
 
 
 def oversized(spark: SparkSession, folder: str, most: int = 80 << 20) -> DataFrame:
     """path, length of control files above the cap."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return files.select("path", "length").where(F.col("length") > most)
+
+
+def write_texts(rows: DataFrame, folder: str, ident: str = "id", text: str = "text") -> None:
+    """Documents' texts (or cleaned texts) as a table by shard; only shards among the rows are replaced."""
+    out = rows.select(F.col(ident).alias("id"), F.col(text).alias("text"), shard(F.col(ident)).alias("shard")).where("text is not null")
+    out.repartition("shard").sortWithinPartitions("shard", "id").write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(folder)
+
+
+def read_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """id, text, shard."""
+    return spark.read.schema("id string, text string, shard string").parquet(folder)
+
+
+def export_texts(rows: DataFrame, folder: str, ident: str = "id", text: str = "text") -> DataFrame:
+    """Writes one file <id>.md for each row, in a folder that all executors share; returns id, bytes.
+
+    A file is written beside its place and moved there, so a task that runs again leaves the same.
+    """
+    def run(batches):
+        import os
+
+        import pyarrow as pa
+
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            sizes = []
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if name != os.path.basename(name) or name in ("", ".", ".."):
+                    raise ValueError(f"an id that is no file name: {name!r}")
+                data, place = (body or "").encode(), os.path.join(folder, f"{name}.md")
+                beside = f"{place}.{os.getpid()}.part"
+                with open(beside, "wb") as f:
+                    f.write(data)
+                os.replace(beside, place)
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["id", "bytes"])
+
+    return checkpoint(rows.select(F.col(ident).cast("string").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id string, bytes long"))

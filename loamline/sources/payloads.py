@@ -17,6 +17,7 @@ from loamline.operators.discovery import (
     composed_title,
     downloadable,
     junk_document,
+    crawlable,
     license_of_id,
     license_of_rights,
     permissive_or_open,
@@ -30,11 +31,20 @@ from loamline.operators.discovery import (
 )
 
 
+def _place(answers: DataFrame) -> Column:
+    """Where an answer stands among all: by its page, if it has that column, and then by its content.
+
+    It says the same however the answers are partitioned, and when a task is run again.
+    """
+    page = F.col("page").cast("long") if "page" in answers.columns else F.lit(0).cast("long")
+    return F.format_string("%015d-%s", F.coalesce(page, F.lit(0).cast("long")), F.substring(F.md5(F.coalesce("payload", F.lit("")).cast("binary")), 1, 12))
+
+
 def _items(answers: DataFrame, items: Column, *keep: str) -> DataFrame:
     """One row an item, in order: pos, x and the kept columns."""
-    rows = answers.select(*keep, F.monotonically_increasing_id().alias("_answer"), items.alias("_items"))
+    rows = answers.select(*keep, _place(answers).alias("_answer"), items.alias("_items"))
     rows = rows.select(*keep, "_answer", F.posexplode("_items").alias("_at", "x"))
-    return rows.select(*keep, F.format_string("%015d-%09d", "_answer", "_at").alias("pos"), "x")
+    return rows.select(*keep, F.format_string("%s-%09d", "_answer", "_at").alias("pos"), "x")
 
 
 def _json(schema: str) -> Column:
@@ -168,7 +178,7 @@ def scielo(answers: DataFrame, hosts: list[str] | None = None) -> DataFrame:
     hosts = hosts or ["www.scielo.br"]
     said = "array<struct<_:string,l:string>>"
     schema = f"struct<fulltexts:struct<pdf:map<string,string>>,article:struct<v12:{said},v40:{said},v702:{said},v880:{said}>>"
-    rows = answers.select("topic", F.monotonically_increasing_id().alias("n"), _json(schema).alias("x"))
+    rows = answers.select("topic", _place(answers).alias("n"), _json(schema).alias("x"))
     origin = F.get("x.article.v40", F.lit(0))["_"]
     titles = F.filter("x.article.v12", lambda t: F.coalesce(t["_"], F.lit("")) != "")
     by = lambda language: F.get(F.filter(titles, lambda t: t["l"] == language), 0)["_"]
@@ -182,7 +192,7 @@ def scielo(answers: DataFrame, hosts: list[str] | None = None) -> DataFrame:
     good = path.endswith(".pdf") & (F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit(""))) >= 2)
     derived = F.when(good, F.concat(F.lit(f"https://{hosts[0]}/pdf/"), F.lower(F.regexp_extract(path, r"\A([^/]*)", 1)), F.regexp_extract(path, r"\A[^/]*(/.*)", 1)))
     url = F.when(F.size(pdfs) > 0, F.replace(stated, F.lit("http://"), F.lit("https://"))).otherwise(derived)
-    rows = rows.select("topic", F.format_string("%015d", "n").alias("pos"), title.alias("title"), url.alias("url"), F.lit("cc-by").alias("license"), F.get("x.article.v880", F.lit(0))["_"].alias("pid"))
+    rows = rows.select("topic", F.col("n").alias("pos"), title.alias("title"), url.alias("url"), F.lit("cc-by").alias("license"), F.get("x.article.v880", F.lit(0))["_"].alias("pid"))
     rows = rows.where(host(F.col("url")).isin(hosts))
     return shaped(rows, "sci-", "scielo", 52, id_text=F.coalesce("pid", "title"))
 
@@ -217,7 +227,7 @@ def ademe(answers: DataFrame, base: str = "https://librairie.ademe.fr") -> DataF
     """answers: payload (a product's page, with its data as JSON in an attribute)."""
     data = unescaped(F.regexp_extract("payload", r'data-product="([^"]*)"', 1))
     schema = "struct<name:string,attachments:array<struct<mime:string,id_attachment:string>>>"
-    rows = answers.select(F.format_string("%015d", F.monotonically_increasing_id()).alias("pos"), F.from_json(data, schema).alias("x"))
+    rows = answers.select(_place(answers).alias("pos"), F.from_json(data, schema).alias("x"))
     pdf = _first(F.col("x.attachments"), lambda a: F.lower(F.coalesce(a["mime"], F.lit(""))) == "application/pdf")
     rows = rows.select("pos", strip(F.col("x.name")).alias("title"), F.concat(F.lit(f"{base}/index.php?controller=attachment&id_attachment="), pdf["id_attachment"]).alias("url"), F.lit("open").alias("license"))
     return shaped(rows.withColumn("topic", topic("ademe", F.col("title"))), "adm-", "ademe", 52)
@@ -330,14 +340,14 @@ def ibpsa(answers: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     parts = F.regexp_extract_all("payload", F.lit(r"(?s)<h4[^>]*>.*?</h4>|<tr[^>]*>.*?</tr>"), F.lit(0))
-    rows = answers.select(F.monotonically_increasing_id().alias("answer"), parts.alias("parts")).select("answer", F.posexplode("parts").alias("n", "x"))
+    rows = answers.select(_place(answers).alias("answer"), parts.alias("parts")).select("answer", F.posexplode("parts").alias("n", "x"))
     heading = strip(F.regexp_replace("x", "<[^>]+>", ""))
     said = F.when(F.col("x").startswith("<h4") & (heading != "") & (F.lower(heading) != "list of topics"), heading)
     carried = F.last(said, ignorenulls=True).over(Window.partitionBy("answer").orderBy("n").rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("heading", carried).where(F.col("x").startswith("<tr"))
     title = strip(unescaped(F.regexp_replace(F.regexp_extract("x", r'(?s)<a[^>]*class="paper_title"[^>]*>(.*?)</a>', 1), "<[^>]+>", "")))
     pdf = F.regexp_extract("x", r'(?i)<a[^>]*href="([^"]+\.pdf)"', 1)
-    rows = rows.select(F.format_string("%015d-%09d", "answer", "n").alias("pos"), title.alias("title"), pdf.alias("url"), F.lit("open").alias("license"), topic("ibpsa", F.col("heading")).alias("topic"))
+    rows = rows.select(F.format_string("%s-%09d", "answer", "n").alias("pos"), title.alias("title"), pdf.alias("url"), F.lit("open").alias("license"), topic("ibpsa", F.col("heading")).alias("topic"))
     return shaped(rows, "ibp-", "ibpsa", 52)
 
 
@@ -403,5 +413,88 @@ def japan_report(pages: DataFrame) -> DataFrame:
     return rows.select(F.concat(number, F.when(F.col("all"), "all").otherwise(F.when(stem != "", stem).otherwise("pdf"))).alias("id"), F.when(F.col("all"), base).otherwise(part).alias("title"), F.col("x.u").alias("url"), F.lit("bri_jp").alias("source"), F.lit("open").alias("license"), topic("japan", F.col("report")).alias("topic"), F.lit("pdf").alias("format"), F.format_string("%s-%06d", "url", "k").alias("pos"))
 
 
-PARSERS: dict[str, Callable] = {f.__name__: f for f in (openalex, osti, openaire, jrc, nist, modelica, books, archive, zenodo, worldbank, govuk, scielo, github, wiki, ademe, kitopen, purdue, jstage, arxiv, patents, sdz, ibpsa, iea, boverket, japan_report)}
+def japan_year(pages: DataFrame) -> DataFrame:
+    """pages: url, payload (an annual report's list of articles), year. One entry an article; the bundle of all is none."""
+    links = F.arrays_zip(_hrefs("payload", 1).alias("href"), _hrefs("payload", 2).alias("label"))
+    folder = F.regexp_extract("url", r"\A(.*/)", 1)
+    clean = lambda t: strip(F.regexp_replace(F.replace(unescaped(F.regexp_replace(t, "<[^>]+>", " ")), F.lit("　"), F.lit(" ")), r"\s+", " "))
+    at = F.transform(links, lambda x: F.struct(F.when(x["href"].rlike("^https?://"), x["href"]).otherwise(F.concat(folder, x["href"])).alias("u"), clean(x["label"]).alias("l")))
+    rows = pages.select("year", at.alias("links"))
+    once = F.filter("links", lambda x, i: (i == 0) | ~F.exists(F.slice("links", 1, i), lambda y: y["u"] == x["u"]))
+    rows = rows.select("year", F.posexplode(F.filter(once, lambda x: ~x["l"].contains("全ページ"))).alias("k", "x"))
+    stem = F.regexp_extract("x.u", r"([^/]*)\.[^./]*\z", 1)
+    prefix = F.concat(F.lit("ar"), F.col("year").cast("string"))
+    tail = slug(F.when(F.lower(stem).startswith(prefix), F.substring(stem, F.length(prefix) + 1, F.length(stem))).otherwise(stem))
+    number = F.col("k") + 1
+    ident = F.concat(F.lit("jpn-nilim-"), F.col("year").cast("string"), F.lit("-"), F.when(tail != "", tail).otherwise(number.cast("string")))
+    title = F.when(F.col("x.l") != "", F.concat(F.lit("国総研資料 "), F.col("year").cast("string"), F.lit(" — "), "x.l")).otherwise(F.format_string("NILIM annual research report %d item %03d", "year", number))
+    return rows.select(ident.alias("id"), title.alias("title"), F.col("x.u").alias("url"), F.lit("nilim_jp").alias("source"), F.lit("open").alias("license"), topic("japan", F.col("x.l")).alias("topic"), F.lit("pdf").alias("format"), F.format_string("%06d-%06d", "year", "k").alias("pos"))
+
+
+def _hrefs(page: str, group: int) -> Column:
+    return F.regexp_extract_all(page, F.lit(r'(?is)<a\s+href="([^"]+\.pdf)(?:#[^"]*)?"[^>]*>(.*?)</a>'), F.lit(group))
+
+
+def crawl_links(pages: DataFrame, site: str, prefix: str = "") -> DataFrame:
+    """page, n, target: the links of fetched pages (url, payload) that a crawl of a site follows, in order."""
+    page = F.regexp_replace("url", "#.*", "")
+    hrefs = F.regexp_extract_all("payload", F.lit(r'(?is)<a\s[^>]*?href\s*=\s*["\']([^"\']*)["\']'), F.lit(1))
+    rows = pages.select(page.alias("page"), F.posexplode(hrefs).alias("n", "href")).withColumn("href", F.regexp_replace(strip(F.replace("href", F.lit("&amp;"), F.lit("&"))), "#.*", ""))
+    rows = rows.select("page", "n", resolved(F.col("page"), F.col("href")).alias("target"))
+    return rows.where(crawlable(F.col("target"), F.lit(site), F.lit(prefix)))
+
+
+def resolved(base: Column, href: Column) -> Column:
+    """The address that a link means on a page: absolute, from the host, from the folder, or the page itself."""
+    scheme, site = F.regexp_extract(base, r"\A([^:]+:)", 1), F.regexp_extract(base, r"\A([^:]+://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"\A[^:]+://[^/?#]*([^?#]*)", 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"\A(.*/)", 1))
+    joined = F.concat(folder, href)
+    # dots: each pass takes one folder with the ".." behind it away
+    plain = F.regexp_replace(F.regexp_replace(joined, r"/(?:\./)+", "/"), r"/\.\z", "/")
+    for _ in range(8):
+        plain = F.regexp_replace(plain, r"/(?!\.\./)[^/?]+/\.\.(?:/|\z)", "/")
+    plain = F.regexp_replace(plain, r"\A(?:/\.\.)+(?=/)", "")
+    return F.when(href.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(site, href)).when(href == "", base).when(href.startswith("?"), F.concat(site, path, href)).otherwise(F.concat(site, plain))
+
+
+def crawl(pages: DataFrame, seed: str, source: str, topic_: str, prefix: str = "", license_: str = "open", most: int = 80, depth: int = 50) -> DataFrame:
+    """Entries for the first pages that a breadth-first walk from a seed meets. pages: url, payload of fetched HTML.
+
+    Pages go by hops, then by the place of the link that leads there first. The walk ends after most
+    pages, or where no new page is found.
+    """
+    from loamline.functions.text import host as host_of
+    from loamline.session import checkpoint
+
+    spark = pages.sparkSession
+    start = seed.split("#")[0]
+    site = spark.range(1).select(host_of(F.lit(start))).first()[0]
+    links = checkpoint(crawl_links(pages, site, prefix))
+    there = pages.select(F.regexp_replace("url", "#.*", "").alias("page")).distinct()
+    level = checkpoint(there.where(F.col("page") == start).select("page", F.lit("").alias("place")))
+    found, n = level, level.count()
+    for _ in range(depth):
+        if n >= most:
+            break
+        ahead = level.join(links, "page").groupBy(F.col("target").alias("page")).agg(F.min(F.format_string("%s/%06d", "place", "n")).alias("place"))
+        ahead = ahead.join(found, "page", "left_anti").join(there, "page", "left_semi")
+        # a walk needs no more than the first of a level
+        level = checkpoint(ahead.orderBy("place").limit(most - n))
+        fresh = level.count()
+        if not fresh:
+            break
+        found, n = found.unionByName(level), n + fresh
+    hops = F.length("place") - F.length(F.replace("place", F.lit("/"), F.lit("")))
+    path = F.regexp_extract("page", r"\A[^:]+://[^/?#]*([^?#]*)", 1)
+    rest = F.when(F.lit(prefix != "") & path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 20)).otherwise(path)
+    name = F.when(slug(rest) != "", slug(rest)).otherwise("index")
+    shown = F.btrim(rest, F.lit("/"))
+    return found.select(
+        F.substring(F.concat(F.lit(f"crawl-{source}-"), name), 1, 62).alias("id"), F.substring(F.concat(F.lit(f"{source} docs: "), F.when(shown != "", shown).otherwise("index")), 1, 150).alias("title"),
+        F.col("page").alias("url"), F.lit(source).alias("source"), F.lit(license_).alias("license"), F.lit(topic_).alias("topic"), F.lit("html").alias("format"), F.format_string("%06d%s", hops, "place").alias("pos"),
+    )
+
+
+PARSERS: dict[str, Callable] = {f.__name__: f for f in (openalex, osti, openaire, jrc, nist, modelica, books, archive, zenodo, worldbank, govuk, scielo, github, wiki, ademe, kitopen, purdue, jstage, arxiv, patents, sdz, ibpsa, iea, boverket, japan_report, japan_year)}
 
