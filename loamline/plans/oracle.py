@@ -321,3 +321,48 @@ SELECT event_id, streak, max(CASE WHEN streak >= 3 THEN 1 ELSE 0 END) OVER (PART
     "rotation_advance": f"""SELECT id AS name, CASE WHEN status <> 'ok' THEN w WHEN pos % 3 = 0 THEN {_PREVIOUS('w')} ELSE CAST(pos + CASE WHEN pos % 2 = 0 THEN 25 ELSE 1 END AS VARCHAR) END AS next
 FROM (SELECT *, CASE WHEN pos % 3 = 0 THEN '2026-W' || lpad(CAST(pos % 52 + 1 AS VARCHAR), 2, '0') ELSE CAST(pos AS VARCHAR) END AS w FROM {M} AS m)""",
 }
+
+# --- passes in order, as recursion over numbered rows ---------------------------------------------
+
+
+def _first_kept(rows: str) -> str:
+    """n of the rows (n, u, t) that a pass keeps: those whose u and t no kept row before has."""
+    return f"""(WITH RECURSIVE pass AS (
+  SELECT CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS us, CAST([] AS VARCHAR[]) AS ts, false AS kept
+  UNION ALL
+  SELECT r.n, CASE WHEN list_contains(us, r.u) OR list_contains(ts, r.t) THEN us ELSE list_append(us, r.u) END,
+    CASE WHEN list_contains(us, r.u) OR list_contains(ts, r.t) THEN ts ELSE list_append(ts, r.t) END, NOT (list_contains(us, r.u) OR list_contains(ts, r.t))
+  FROM pass JOIN ({rows}) AS r ON r.n = pass.n + 1)
+SELECT n FROM pass WHERE kept)"""
+
+
+def _unique_ids(rows: str, reserved: list[str]) -> str:
+    """n and id of the rows (n, id): a taken id becomes its first 50 characters and the first free number from 2."""
+    free = "list_filter(range(2, len(list_filter(taken, lambda y: starts_with(y, left(r.id, 50)))) + 4), lambda k: NOT list_contains(taken, left(r.id, 50) || '-' || CAST(k AS VARCHAR)))[1]"
+    new = f"CASE WHEN list_contains(taken, r.id) THEN left(r.id, 50) || '-' || CAST({free} AS VARCHAR) ELSE r.id END"
+    return f"""(WITH RECURSIVE named AS (
+  SELECT CAST(0 AS BIGINT) AS n, CAST([{listed(reserved)}] AS VARCHAR[]) AS taken, CAST(NULL AS VARCHAR) AS id
+  UNION ALL
+  SELECT r.n, list_append(taken, {new}), {new} FROM named JOIN ({rows}) AS r ON r.n = named.n + 1)
+SELECT n, id FROM named WHERE n > 0)"""
+
+
+_NORM_OF = lambda c: r"trim(regexp_replace(lower(" + c + r"), '[^\p{L}\p{N}_]+', ' ', 'g'))"
+_ROUNDS = f"SELECT row_number() OVER (ORDER BY doc_id % 2, doc_id) AS n, doc_id, url, title, rtrim(url, '/') AS u, {_NORM_OF('title')} AS t FROM (SELECT doc_id, 'https://' || source || '.example.org/' || CAST(doc_id % 700 AS VARCHAR) AS url, left(split_part(text, chr(10), 1), 150) AS title FROM documents)"
+_OFFERED = f"""SELECT left(id, 5) AS id, title, CASE WHEN pos % 7 = 0 THEN 'https://shared.example.org/' || CAST(pos % 50 AS VARCHAR) ELSE url END AS url, 'b' || CAST(pos % 3 AS VARCHAR) AS backend, pos FROM {M} AS m WHERE title <> ''"""
+_FRESH = f"""SELECT row_number() OVER (ORDER BY pos % 3, pos) AS n, *, rtrim(url, '/') AS u, {_NORM} AS t FROM ({_OFFERED})
+WHERE rtrim(url, '/') NOT IN (SELECT {_URL} FROM {M} AS k WHERE pos % 10 = 0) AND ({_NORM} = '' OR {_NORM} NOT IN (SELECT {_NORM} FROM {M} AS k WHERE pos % 10 = 0))"""
+_KEPT = f"SELECT row_number() OVER (ORDER BY f.n) AS n, id, url, backend, pos FROM ({_FRESH}) AS f JOIN {_first_kept(f'SELECT n, u, t FROM ({_FRESH})')} AS k ON f.n = k.n"
+#: The test pages hold one article, without elements in it that never count.
+_ARTICLE = r"regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1)"
+SQL |= {
+    "round_stream": f"SELECT doc_id, url, title, CAST(doc_id % 2 AS INTEGER) AS batch FROM ({_ROUNDS}) AS r JOIN {_first_kept(f'SELECT n, u, t FROM ({_ROUNDS})')} AS k ON r.n = k.n",
+    "uniquify_ids": f"SELECT u.id, r.pos FROM (SELECT row_number() OVER (ORDER BY pos) AS n, pos FROM {M} AS m) AS r JOIN {_unique_ids(f'SELECT row_number() OVER (ORDER BY pos) AS n, left(id, 6) AS id FROM {M} AS m', ['hand-3', 'hand-3-2'])} AS u ON r.n = u.n",
+    "merge_proposals": f"SELECT u.id, k.url, k.backend, k.pos FROM ({_KEPT}) AS k JOIN {_unique_ids(f'SELECT n, id FROM ({_KEPT})', ['ost-1', 'gh-4-2'])} AS u ON k.n = u.n",
+    "html_extract": rf"""WITH nodes AS (SELECT page_id, list_filter(regexp_split_to_array({_ARTICLE}, '(?s)<!--.*?-->|<[^>]+>'), lambda x: x <> '') AS n FROM pages),
+l AS (SELECT page_id, list_transform(regexp_split_to_array(array_to_string(list_transform(n, lambda x: replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')), chr(10)), '
+|[
+-]'), lambda x: trim(x, ' ' || chr(9) || chr(160))) AS l FROM nodes),
+t AS (SELECT page_id, trim(array_to_string(list_filter(l, lambda x, i: x <> '' OR (i > 1 AND l[i - 1] <> '')), chr(10)), chr(10)) AS t FROM l)
+SELECT page_id, length(t) AS text_chars, sha256(t) AS text_sha256 FROM t""",
+}
