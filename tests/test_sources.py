@@ -70,6 +70,11 @@ def test_page_text(spark):
     assert html.text_of("") == ""
 
 
+def test_page_entities():
+    # every entity counts, with its semicolon or cut off before it; the SQL of html_extract knows three
+    assert html.text_of("<article>a = &quot;b&quot; &#39;c&#39; &amp;lt; and&amp</article>") == "a = \"b\" 'c' &lt; and&"
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "reg").mkdir()
     (tmp_path / "reg" / "books.yaml").write_text("sources:\n- id: oer-1\n  title: B\n")
