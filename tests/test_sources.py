@@ -70,6 +70,17 @@ def test_page_text(spark):
     assert html.text_of("") == ""
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article>x <3 y</article>", "x <3 y"),
+    ("<article><p>1 < 2 &lt; 3</p><p>c</p></article>", "1 < 2 < 3\nc"),
+    ("<article>a<!-- x -->b</x>c<?y?>d<!z>e</article>", "a\nb\nc\nd\ne"),
+    ("x <", "x <"),
+    ("<body><noscript><main>no</main></noscript><article>yes</article></body>", "yes"),
+])
+def test_page_text_nodes(page, text):
+    assert html.text_of(page) == text
+
+
 def test_page_entities():
     # every entity counts, with its semicolon or cut off before it; the SQL of html_extract knows three
     assert html.text_of("<article>a = &quot;b&quot; &#39;c&#39; &amp;lt; and&amp</article>") == "a = \"b\" 'c' &lt; and&"
